@@ -49,4 +49,4 @@ def code_to_int(c: Column | str) -> Column:
 
 def spec_fields(line: Column | str) -> Column:
     """``a;b;c`` as an array of trimmed parts."""
-    return F.transform(F.split(F.trim(_col(line)), ";"), F.trim)
+    return F.transform(F.split(F.trim(_col(line)), ";"), lambda part: F.trim(part))

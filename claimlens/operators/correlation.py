@@ -2,64 +2,115 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
+from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import magnitude_class, magnitude_mark
 
-# Aggregate expressions per pass; more columns take more passes instead of one oversized plan.
-EXPRESSIONS_PER_PASS = 300
+# Aggregation buffer fields per pass: Spark compiles an aggregate up to 100 of them. More
+# columns take more passes over fewer columns each, instead of one interpreted pass.
+FIELDS_PER_PASS = 90
+FIELDS_OF_COVARIANCE = 4
 
 
-def _pearson(x: Column, y: Column, masked: bool) -> Column:
-    """Correlation over rows where both are present; NULL when either is constant there.
+@dataclass
+class _Column:
+    """One input column: its name in SQL, whether it has gaps, and the value it is shifted by."""
 
-    Variances come from the covariance of a column with itself, so that equal and opposite
-    columns give exactly 1 and -1.
+    sql: str
+    gaps: bool
+    shift: float
+
+    def shifted(self) -> str:
+        return f"({self.sql} - double('{self.shift!r}'))"
+
+
+def _inspect(frame: DataFrame, columns: list[str]) -> tuple[list[_Column], int]:
+    """First pass: gaps and mean. A constant column is shifted by its own value, to exact zeros."""
+    found = frame.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
+            for c in columns
+        ],
+    ).first()
+    out = []
+    for c in columns:
+        n, mean, low, high = found[c]
+        shift = low if low == high else mean
+        out.append(_Column("`" + c.replace("`", "``") + "`", n < found["rows"], 0.0 if shift is None else shift))
+    return out, found["rows"]
+
+
+def _moments(x: _Column, y: _Column, rows: int) -> tuple[dict[str, str], str]:
+    """Aggregates of a pair by alias, and its correlation from them.
+
+    Complete columns need one sum of products per pair. With gaps, the variances belong to
+    the rows where both are present; they are covariances of a column with itself, so that
+    equal and opposite columns give exactly 1 and -1 in both cases.
     """
-    own_x = F.when(y.isNotNull(), x) if masked else x
-    own_y = F.when(x.isNotNull(), y) if masked else y
-    spread = F.sqrt(F.covar_pop(own_x, own_x) * F.covar_pop(own_y, own_y))
-    r = F.try_divide(F.covar_pop(x, y), spread)
-    return F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+    if not (x.gaps or y.gaps):
+        sums = {}
+        for a, b in ((x, x), (y, y), (x, y)):
+            sums[f"sum({a.shifted()} * {b.shifted()})"] = "product"
+            sums[f"sum({a.shifted()})"] = sums[f"sum({b.shifted()})"] = "sum"
+
+        def covariance(a: _Column, b: _Column) -> str:
+            return f"(sum({a.shifted()} * {b.shifted()}) - sum({a.shifted()}) * sum({b.shifted()}) / {max(rows, 1)})"
+    else:
+        own_x = f"if({y.sql} is null, null, {x.sql})" if y.gaps else x.sql
+        own_y = f"if({x.sql} is null, null, {y.sql})" if x.gaps else y.sql
+        own = {id(x): own_x, id(y): own_y}
+        sums = {f"covar_pop({a}, {b})": "covariance" for a, b in ((own_x, own_x), (own_y, own_y), (own_x, own_y))}
+
+        def covariance(a: _Column, b: _Column) -> str:
+            return f"covar_pop({own[id(a)]}, {own[id(b)]})"
+
+    r = f"try_divide({covariance(x, y)}, sqrt({covariance(x, x)} * {covariance(y, y)}))"
+    return sums, r
+
+
+def _fields(sums: dict[str, str]) -> int:
+    return sum(FIELDS_OF_COVARIANCE if kind == "covariance" else 1 for kind in sums.values())
 
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Square matrix as rows (Fila, Columna, fila_pos, columna_pos, r).
+    """Square Pearson matrix as rows (Fila, Columna, fila_pos, columna_pos, r).
 
-    A first pass finds columns with missing values; only their pairs need per-pair variances.
+    Undefined values (a constant column) are NULL.
     """
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    frame = df.select([v.alias(c) for c, v in values.items()])
-    gaps = frame.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    frame = df.select([F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    found, rows = _inspect(frame, columns)
+
+    passes: list[tuple[dict[str, str], list[tuple[int, int, str]]]] = [({}, [])]
+    for i, j in combinations_with_replacement(range(len(columns)), 2):
+        sums, r = _moments(found[i], found[j], rows)
+        if passes[-1][0] and _fields(passes[-1][0] | sums) > FIELDS_PER_PASS:
+            passes.append(({}, []))
+        passes[-1][0].update(sums)
+        passes[-1][1].append((i, j, r))
 
-    wanted = [(i, i) for i in range(len(columns))] + list(combinations(range(len(columns)), 2))
     parts = []
-    for start in range(0, len(wanted), EXPRESSIONS_PER_PASS):
-        chunk = wanted[start : start + EXPRESSIONS_PER_PASS]
-        row = frame.agg(
-            *[
-                _pearson(F.col(columns[i]), F.col(columns[j]), bool(gaps[i] or gaps[j])).alias(f"r_{i}_{j}")
-                for i, j in chunk
-            ]
-        )
+    for _, pairs in passes:
+        row = frame.agg(*[F.expr(r).alias(f"r_{i}_{j}") for i, j, r in pairs])
         cells = [
-            _cell(columns, *place, F.col(f"r_{i}_{j}")) for i, j in chunk for place in {(i, j), (j, i)}
+            f"named_struct('fila_pos', {a}, 'columna_pos', {b}, 'r', r_{i}_{j})"
+            for i, j, _ in pairs
+            for a, b in sorted({(i, j), (j, i)})
         ]
-        parts.append(row.select(F.inline(F.array(*cells))))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _cell(columns: list[str], row: int, column: int, r: Column) -> Column:
-    return F.struct(
-        F.lit(columns[row]).alias("Fila"),
-        F.lit(columns[column]).alias("Columna"),
-        F.lit(row).alias("fila_pos"),
-        F.lit(column).alias("columna_pos"),
-        r.alias("r"),
+        parts.append(row.select(F.expr(f"inline(array({', '.join(cells)}))")))
+    names = F.array(*[F.lit(c) for c in columns])
+    r = F.col("r")
+    return reduce(DataFrame.unionByName, parts).select(
+        names[F.col("fila_pos")].alias("Fila"),
+        names[F.col("columna_pos")].alias("Columna"),
+        "fila_pos",
+        "columna_pos",
+        F.when(F.abs(r) > 1, F.signum(r)).otherwise(r).alias("r"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.dates import now_to_second
-from claimlens.functions.numeric import r0
+from claimlens.functions.numeric import r0, round_even
 from claimlens.functions.text import truncate
 
 # Names of the audit columns and of the configuration key.
@@ -40,12 +40,14 @@ def spark_type(sqltype: str) -> str:
 
 
 def coerced(column: Column, sqltype: str) -> Column:
-    """A column as its declared type: half-even integers, scaled decimals, cut text."""
+    """A column as its declared type: numbers rounded half to even, text cut to length."""
     kind = spark_type(sqltype)
     if kind == "int":
         return r0(column).cast("int")
     if kind == "string":
         return truncate(column, _numbers(sqltype)[0])
+    if kind.startswith("decimal"):
+        return round_even(column, _numbers(sqltype)[1]).cast(kind)
     return column.cast(kind)
 
 
