@@ -89,9 +89,9 @@ def read_table_definition(
 
 
 def _reading_type(sqltype: str) -> str:
-    """Integers are read as doubles, for they are rounded only when the load is prepared."""
+    """Numbers are read as doubles, for they are rounded only when the load is prepared."""
     kind = spark_type(sqltype)
-    return "double" if kind == "int" else kind
+    return "double" if kind == "int" or kind.startswith("decimal") else kind
 
 
 def spec_lines(lines: DataFrame) -> DataFrame:
