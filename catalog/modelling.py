@@ -238,7 +238,7 @@ PAIR = ["precio", "neto", "titular"]
 _PAIR_SQL = f"""{_LINES},
   m as (select avg(precio) as mp, stddev_pop(precio) as sp, avg(neto) as mn, stddev_pop(neto) as sn,
                corr(precio, neto) as r, count(*) as n from lineas),
-  z as (select {', '.join(_LINE_ORDER)}, (precio - mp) / sp as zp, (neto - mn) / sn as zn, r, n from lineas, m)"""
+  z as (select {', '.join(_LINE_ORDER)}, (precio - mp) / sp as zp, (neto - mn) / sn as zn, r, n, precio, neto, titular from lineas, m)"""
 
 
 def fitted_pair(spark, folder):
@@ -339,9 +339,8 @@ def ml5_lines(spark, folder):
 
 @query(
     "ml6_scored_lines",
-    f"""with {_PAIR_SQL} select {', '.join('z.' + c for c in _LINE_ORDER)}, l_extendedprice as precio,
-        l_extendedprice * (1 - l_discount) as neto, 1.0::double as titular, round(abs(zp - zn) / sqrt(2), 6) as anomalyscore
-        from z join lineitem using ({', '.join(_LINE_ORDER)})""",
+    f"""with {_PAIR_SQL} select {', '.join(_LINE_ORDER)}, precio, neto, titular,
+        round(abs(zp - zn) / sqrt(2), 6) as anomalyscore from z""",
 )
 def ml6_lines(spark, folder):
     frame = line_frame(spark, folder).select(*_LINE_ORDER, *PAIR)
