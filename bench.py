@@ -1,6 +1,6 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs once to warm the session and $BENCH_RUNS times (3 by default) for the clock;
+Each query runs once to warm the session and $BENCH_RUNS times (1 by default) for the clock;
 its time is the median. Results are written to the no-op sink, so every output column is computed.
 """
 
@@ -49,7 +49,7 @@ def seconds(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(cpus, memory="16g")
     times = {}
     for name in HEADLINE:

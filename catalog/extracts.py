@@ -40,7 +40,7 @@ def q2(wh):
 
 @warehouse_query("q3_requests", "select * from solicitudes")
 def q3(wh):
-    return plain(detail.requests(detail.detail_rows(wh, SINCE, UNTIL)))
+    return plain(detail.requests(detail.weighted_rows(wh, SINCE, UNTIL)))
 
 
 @warehouse_query(
@@ -56,7 +56,7 @@ def out1(wh):
 
 @warehouse_query("out2_outlier_flags", "select * from marcadas")
 def out2(wh):
-    grouped = detail.requests(detail.detail_rows(wh, SINCE, UNTIL))
+    grouped = detail.requests(detail.weighted_rows(wh, SINCE, UNTIL))
     return plain(detail.flag_outliers(grouped, detail.outlier_criteria(wh)))
 
 

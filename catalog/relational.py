@@ -256,7 +256,7 @@ def flt9(wh):
        where OutlierCantidadAlta = 0 and OutlierCostoBajo = 0 and OutlierCostoAlto = 0""",
 )
 def flt10(wh):
-    grouped = detail.requests(detail.detail_rows(wh, SINCE, UNTIL))
+    grouped = detail.requests(detail.weighted_rows(wh, SINCE, UNTIL))
     rows = detail.regular_rows(detail.flag_outliers(grouped, detail.outlier_criteria(wh)))
     return rows.select("NumeroSolicitud", "Cantidad", "CostoUnitarioCLP")
 
@@ -477,9 +477,8 @@ def jn13(wh):
     "select s.idsiniestro, s.RutTitular from siniestro s join liquidacion liq on liq.idSiniestro = s.idsiniestro",
 )
 def jn14(wh):
-    return wh["siniestro"].join(wh["liquidacion"], "idsiniestro").select(
-        wh["siniestro"]["idsiniestro"], "RutTitular"
-    )
+    counted = wh["siniestro"].join(claims.settlement_counts(wh), "idsiniestro")
+    return claims.repeat_rows(counted, F.col("Liquidaciones")).select("idsiniestro", "RutTitular")
 
 
 @warehouse_query(
@@ -488,11 +487,9 @@ def jn14(wh):
        left join liquidaciondetallerechazo r on r.idliquidaciondetalle = ld.idliquidaciondetalle""",
 )
 def jn15(wh):
-    return plain(
-        wh["liquidaciondetalle"]
-        .join(wh["liquidaciondetallerechazo"], "idliquidaciondetalle", "left")
-        .select("idliquidaciondetalle", "MontoLiquidado")
-    )
+    counted = wh["liquidaciondetalle"].join(claims.rejection_counts(wh), "idliquidaciondetalle", "left")
+    repeated = claims.repeat_rows(counted, F.coalesce("Rechazos", F.lit(1)))
+    return plain(repeated.select("idliquidaciondetalle", "MontoLiquidado"))
 
 
 @warehouse_query(
@@ -502,7 +499,7 @@ def jn15(wh):
        where s.vigente = 1 group by 1, 2""",
 )
 def jn16(wh):
-    people = wh["siniestro"].where("vigente = 0").select("RutSiniestrado")
+    people = wh["siniestro"].where("vigente = 0").select("RutSiniestrado").distinct()
     return (
         claims.valid_claims(wh, False)
         .join(people, "RutSiniestrado", "left_semi")
@@ -553,7 +550,7 @@ _SUMS = ", ".join(f"sum({m})::double as {m}" for m in detail.MEASURES if m != "C
     f"select {', '.join(detail.GRAIN)}, cast(sum(Cantidad) as bigint) as Cantidad, {_SUMS} from detalle group by all",
 )
 def ag3(wh):
-    return plain(detail.request_totals(detail.detail_rows(wh, SINCE, UNTIL)))
+    return plain(detail.request_totals(detail.weighted_rows(wh, SINCE, UNTIL)))
 
 
 @warehouse_query(

@@ -19,9 +19,15 @@ def policy_matrix(events: DataFrame) -> DataFrame:
     return events.groupBy("poliza", "periodo").agg(best.alias("best")).select("poliza", "periodo", "best.valor")
 
 
-def periods_of(matrix: DataFrame) -> list[str]:
-    """The period axis: sorted distinct periods of the calendar."""
-    return [row[0] for row in matrix.select("periodo").distinct().orderBy("periodo").collect()]
+def periods_of(matrix: DataFrame, at_most: int = 5000) -> list[str]:
+    """The period axis: sorted distinct periods of the calendar.
+
+    More than ``at_most`` of them are no calendar of months or days, and are refused.
+    """
+    found = matrix.select("periodo").distinct().limit(at_most + 1).collect()
+    if len(found) > at_most:
+        raise ValueError(f"more than {at_most} periods: not a calendar")
+    return sorted(row.periodo for row in found)
 
 
 def running_activity(matrix: DataFrame) -> DataFrame:

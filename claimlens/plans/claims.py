@@ -115,28 +115,41 @@ def details(wh: Warehouse, approved_only: bool) -> DataFrame:
     return rows.withColumn("CodigoBeneficio", code_to_int("CodigoBeneficio"))
 
 
+def settlement_counts(wh: Warehouse) -> DataFrame:
+    """Settlements per claim, counted before they move: one row per claim, however many it has."""
+    return wh["liquidacion"].groupBy(F.col("idSiniestro").alias("idsiniestro")).agg(
+        F.count(F.lit(1)).cast("int").alias("Liquidaciones")
+    )
+
+
+def rejection_counts(wh: Warehouse) -> DataFrame:
+    """Rejections per paid detail."""
+    return wh["liquidaciondetallerechazo"].groupBy("idliquidaciondetalle").agg(
+        F.count(F.lit(1)).cast("int").alias("Rechazos")
+    )
+
+
 def enrich_claims(wh: Warehouse, claims: DataFrame) -> DataFrame:
-    """Joins at claim grain, before the fan-out to details: channel, insurer, request number.
+    """Joins at claim grain, before the fan-out to details: channel, insurer, settlements, request number.
 
     The two small filtering dimensions come first, so that fewer claims are shuffled later.
+    Claims without a settlement drop out; ``Liquidaciones`` is the weight of the others. The
+    request join comes after it, so that the document join that follows has a shuffle of its
+    own on both sides, which is what AQE needs to split a claim with very many documents.
     """
     return (
         claims.join(channels(wh), ["IdCanal", "IdDenuncioClasificacion", "IdDenuncioTipo"])
         .join(insurers(wh), "IdPrevisionAsegurado")
+        .join(settlement_counts(wh), "idsiniestro")
         .join(wh["denuncio"], "iddenuncio")
     )
 
 
 def fan_out(wh: Warehouse, claims: DataFrame, approved_only: bool) -> DataFrame:
-    """Claims with settlements, documents and paid details, one row per combination.
+    """Enriched claims with documents and paid details, one row per detail."""
+    return claims.join(wh["siniestrodocumento"], "idsiniestro").join(details(wh, approved_only), "idSiniestroDocumento")
 
-    A claim with two settlements yields each of its details twice, which the sums and
-    averages downstream rely on. Settlements and documents share the claim key, so the
-    claims are shuffled once for both.
-    """
-    settlements = wh["liquidacion"].select(F.col("idSiniestro").alias("idsiniestro"))
-    return (
-        claims.join(settlements, "idsiniestro")
-        .join(wh["siniestrodocumento"], "idsiniestro")
-        .join(details(wh, approved_only), "idSiniestroDocumento")
-    )
+
+def repeat_rows(rows: DataFrame, times: Column) -> DataFrame:
+    """Every row as many times as its weight says: the plain join's bag of rows."""
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")

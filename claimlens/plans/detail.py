@@ -37,8 +37,11 @@ EXPORT = [
 QUANTITY_LIMIT = 100
 
 
-def detail_rows(wh: Warehouse, since: str, until: str, subgroup: str | None = rules.MENTAL_HEALTH) -> DataFrame:
-    """One row per approved, classified detail of a claim settled in the period."""
+WEIGHT = "Liquidaciones"
+
+
+def weighted_rows(wh: Warehouse, since: str, until: str, subgroup: str | None = rules.MENTAL_HEALTH) -> DataFrame:
+    """Approved, classified details of claims settled in the period, with the claim's settlement count."""
     in_period = claims.enrich_claims(wh, claims.claims_in_period(wh, since, until, plan_rule=False))
     return (
         claims.fan_out(wh, in_period, approved_only=True)
@@ -67,13 +70,23 @@ def detail_rows(wh: Warehouse, since: str, until: str, subgroup: str | None = ru
             rules.insurer_label("GlosaIsapre").alias("Prevision"),
             "RutPrestador",
             "NombrePrestador",
+            WEIGHT,
         )
     )
 
 
+def detail_rows(wh: Warehouse, since: str, until: str, subgroup: str | None = rules.MENTAL_HEALTH) -> DataFrame:
+    """The same details as plain rows: a claim with two settlements has each of them twice."""
+    return claims.repeat_rows(weighted_rows(wh, since, until, subgroup), F.col(WEIGHT)).drop(WEIGHT)
+
+
 def request_totals(rows: DataFrame) -> DataFrame:
-    """Sums of quantity and amounts at the request grain."""
-    return rows.groupBy(*GRAIN).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    """Sums of quantity and amounts at the request grain.
+
+    Weighted rows count as often as their claim has settlements, without being repeated.
+    """
+    times = F.col(WEIGHT) if WEIGHT in rows.columns else F.lit(1)
+    return rows.groupBy(*GRAIN).agg(*[F.sum(F.col(m) * times).alias(m) for m in MEASURES])
 
 
 def plausible(totals: DataFrame, limit: int = QUANTITY_LIMIT) -> DataFrame:
@@ -146,5 +159,5 @@ def regular_rows(flagged: DataFrame) -> DataFrame:
 def detail_extract(
     wh: Warehouse, since: str, until: str, subgroup: str | None = rules.MENTAL_HEALTH, limit: int = QUANTITY_LIMIT
 ) -> DataFrame:
-    grouped = requests(detail_rows(wh, since, until, subgroup), limit)
+    grouped = requests(weighted_rows(wh, since, until, subgroup), limit)
     return regular_rows(flag_outliers(grouped, outlier_criteria(wh)))

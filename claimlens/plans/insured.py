@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import rules
 from claimlens.functions.dates import age_years, back, day_literal, period
-from claimlens.functions.numeric import flag
+from claimlens.functions.numeric import flag, ratio
 from claimlens.plans import claims
 from claimlens.session import stage
 from claimlens.sources.warehouse import Warehouse
@@ -90,7 +90,9 @@ def persons(wh: Warehouse, prefix: str, key: str) -> DataFrame:
 def holder_history(wh: Warehouse, windows: DataFrame) -> DataFrame:
     """Every detail, approved or not, of the cohort's claims inside each holder's window.
 
-    Person, channel and insurer joins run at claim grain; only then do claims fan out.
+    Person, channel and insurer joins run at claim grain; only then do claims fan out. Rows
+    repeat per settlement and per rejection of their detail; both are counted first and the
+    repetition is the last step.
     """
     claim = (
         claims.valid_claims(wh, plan_rule=True)
@@ -106,13 +108,16 @@ def holder_history(wh: Warehouse, windows: DataFrame) -> DataFrame:
         .join(persons(wh, "titular", "IdTitular"), "IdTitular")
         .join(persons(wh, "siniestrado", "IdSiniestrado"), "IdSiniestrado")
     )
-    return (
+    details = (
         claims.fan_out(wh, claim, approved_only=False)
         .join(claims.providers(wh).drop("NombrePrestador"), "idprestadorsucursal")
         .join(claims.benefit_groups(wh), "IdGrupo")
         .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
-        .join(wh["liquidaciondetallerechazo"], "idliquidaciondetalle", "left")
-        .select(
+        .join(claims.rejection_counts(wh), "idliquidaciondetalle", "left")
+    )
+    times = F.col("Liquidaciones") * F.coalesce("Rechazos", F.lit(1))
+    return (
+        claims.repeat_rows(details.withColumn("_times", times), F.col("_times")).select(
             rules.role_label("RutTitular", "RutSiniestrado").alias("RolPersona"),
             "RutTitular",
             rules.female_flag("titular_sexo").alias("TitularFemenino"),
@@ -152,7 +157,8 @@ def person_diagnoses(
     """Distinct mental-health diagnoses per holder and person.
 
     Only distinct counts, minimum and maximum are taken, so every table that adds no column
-    is a semi-join and a claim is never multiplied.
+    is a semi-join and a claim is never multiplied. Keys are made distinct before they move:
+    a person with a third of the history is one row per task by then.
     """
     mental_details = (
         wh["siniestrodocumento"]
@@ -160,6 +166,8 @@ def person_diagnoses(
         .join(claims.benefit_groups(wh), "IdGrupo")
         .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
         .where(rules.is_mental_health("GlosaBeneficio", "ClasificacionSubgrupo"))
+        .select("idsiniestro")
+        .distinct()
     )
     known = wh["diagnostico"].where(rules.diagnosis_in_scope("idDiagnostico", "codigo")).select(
         F.col("idDiagnostico").alias("idcausaprimaria"), "Glosa"
@@ -170,7 +178,7 @@ def person_diagnoses(
         .where(F.col("FechaRecepcionLiquidacionVC").between(day_literal(since), last))
         .where("idcausaprimaria != 0")
         .join(known, "idcausaprimaria")
-        .join(people.select("RutSiniestrado"), "RutSiniestrado", "left_semi")
+        .join(people.select("RutSiniestrado").distinct(), "RutSiniestrado", "left_semi")
         .join(wh["denuncio"], "iddenuncio", "left_semi")
         .join(mental_details, "idsiniestro", "left_semi")
         .groupBy("RutTitular", "RutSiniestrado")
@@ -221,6 +229,7 @@ def provider_profiles(wh: Warehouse, windows: DataFrame) -> DataFrame:
 
     The windows meet the branch table first: dimension against dimension, so the facts never
     shuffle by provider id before the aggregate, whose partial step runs ahead of its shuffle.
+    A claim weighs as often as it has settlements.
     """
     branches = claims.providers(wh).join(windows, "RutPrestador")
     claim = claims.valid_claims(wh, plan_rule=True).where(
@@ -232,15 +241,18 @@ def provider_profiles(wh: Warehouse, windows: DataFrame) -> DataFrame:
         .where(F.col("FechaRecepcionLiquidacionVC").between(F.col("FechaDesde"), F.col("FechaHasta")))
         .join(claims.benefit_groups(wh), "IdGrupo")
     )
+    times = F.col("Liquidaciones")
+    public = flag(rules.is_public("GlosaIsapre"))
+    electronic = flag(F.col("GlosaHomologacion") == rules.ELECTRONIC_CHANNEL)
     return rows.groupBy("RutPrestador").agg(
         F.max("NombrePrestador").alias("NombrePrestador"),
         F.countDistinct("RutSiniestrado").alias("PrestadorBeneficiarios"),
-        F.avg(flag(rules.is_public("GlosaIsapre")).cast("double")).alias("PrestadorFonasa"),
-        F.avg(flag(F.col("GlosaHomologacion") == rules.ELECTRONIC_CHANNEL).cast("double")).alias("PrestadorImed"),
+        ratio(F.sum(public * times), F.sum(times)).alias("PrestadorFonasa"),
+        ratio(F.sum(electronic * times), F.sum(times)).alias("PrestadorImed"),
         F.countDistinct("NumeroDenuncio").alias("PrestadorSolicitudes"),
         F.countDistinct("CodigoBeneficio").alias("PrestadorPrestaciones"),
-        F.sum("MontoConversionBeneficio").alias("PrestadorValorPrestacion"),
-        F.sum("MontoConversionLiquidado").alias("PrestadorValorPago"),
+        F.sum(F.col("MontoConversionBeneficio") * times).alias("PrestadorValorPrestacion"),
+        F.sum(F.col("MontoConversionLiquidado") * times).alias("PrestadorValorPago"),
     )
 
 

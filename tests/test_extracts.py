@@ -58,10 +58,11 @@ def test_blank_code_counts_as_zero(spark):
     assert [r.CodigoBeneficio for r in detail.detail_rows(wh.build(spark), *PERIOD).collect()] == [0]
 
 
-def test_two_settlements_weigh_the_sums(spark):
+@pytest.mark.parametrize("rows_of", [detail.weighted_rows, detail.detail_rows])
+def test_two_settlements_weigh_the_sums(spark, rows_of):
     wh = Micro()
     wh.claim(settlements=2)
-    (row,) = detail.requests(detail.detail_rows(wh.build(spark), *PERIOD)).collect()
+    (row,) = detail.requests(rows_of(wh.build(spark), *PERIOD)).collect()
     assert (row.Cantidad, row.ValorPrestacionCLP, row.CostoUnitarioCLP) == (4, Decimal("20.0000"), 5.0)
     assert (row.RutTitular, row.RutPrestador) == ("0000000000100"[-12:], "00000000007")
 
