@@ -18,7 +18,7 @@ from claimlens.session import scratch_path, shared_folder
 from claimlens.sources import database, files, snapshots
 from claimlens.sources.standin import StandIn
 
-FIRST, SECOND = "20240723_1700", "20240729_1256"
+FIRST, SECOND = "20250106_0900", "20250203_0900"
 
 
 def write_text(spark, text: str, path: str) -> str:
@@ -86,7 +86,7 @@ def src4(spark, folder):
     root = two_snapshots(spark, folder)
     rows = snapshots.read_snapshots(spark, root)
     names = [r.snapshot for r in rows.select("snapshot").distinct().collect()]
-    return rows.where(F.col("snapshot") == snapshots.newest(names, "2024")).groupBy("snapshot").agg(
+    return rows.where(F.col("snapshot") == snapshots.newest(names, "2025")).groupBy("snapshot").agg(
         F.count(F.lit(1)).alias("filas")
     )
 

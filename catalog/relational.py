@@ -226,7 +226,7 @@ def flt6(wh):
 def flt7(wh):
     date = F.col("FechaRecepcionLiquidacionVC")
     since = F.to_timestamp_ntz(F.lit(SINCE), F.lit("yyyyMMdd"))
-    return wh["siniestro"].where(date.between(since, F.current_timestamp())).select("idsiniestro", date.alias("fecha"))
+    return wh["siniestro"].where(date.between(since, F.localtimestamp())).select("idsiniestro", date.alias("fecha"))
 
 
 @warehouse_query(

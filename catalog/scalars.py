@@ -148,7 +148,7 @@ def dt4(orders):
 
 @source_query("dt5_before_now", "events", "select event_id, 1 as pasado from events where ts <= now()::timestamp")
 def dt5(events):
-    return events.where(F.col("ts") <= F.current_timestamp()).select("event_id", F.lit(1).alias("pasado"))
+    return events.where(F.col("ts") <= F.localtimestamp()).select("event_id", F.lit(1).alias("pasado"))
 
 
 @source_query(

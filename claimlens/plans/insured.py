@@ -172,7 +172,7 @@ def person_diagnoses(
     known = wh["diagnostico"].where(rules.diagnosis_in_scope("idDiagnostico", "codigo")).select(
         F.col("idDiagnostico").alias("idcausaprimaria"), "Glosa"
     )
-    last = F.current_timestamp() if until is None else until
+    last = F.localtimestamp() if until is None else until
     return (
         claims.valid_claims(wh, plan_rule=False)
         .where(F.col("FechaRecepcionLiquidacionVC").between(day_literal(since), last))

@@ -18,8 +18,8 @@ ACTIONS = ["input"]
 
 # Stored queries per (model, dataset); the newest name that contains the search text runs.
 EXTRACTS: Mapping[tuple[str, str], Mapping[str, Callable[..., DataFrame]]] = {
-    ("test", "saludmental"): {"query_20240723_1700": detail_extract},
-    ("asegurado", "saludmental"): {"query_20240729_1256": insured_extract},
+    ("test", "saludmental"): {"query_1": detail_extract},
+    ("asegurado", "saludmental"): {"query_1": insured_extract},
 }
 
 # Columns of the detail extract that identify a row: its grouping, without the texts that follow from ids.

@@ -15,7 +15,7 @@ BUNDLE = ["dataset", "information", "variables"]
 
 
 def stamp(now: datetime) -> str:
-    """``20240729_1256``: sorts as text in time order."""
+    """``20250106_0900``: sorts as text in time order."""
     return now.strftime("%Y%m%d_%H%M")
 
 

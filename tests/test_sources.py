@@ -27,21 +27,21 @@ def test_delimiters_of_many_files(spark, tmp_path):
 
 def test_snapshots_keep_each_other_and_the_newest_is_read(spark, tmp_path):
     root = str(tmp_path / "s")
-    for when, rows in (("20240723_1700", 3), ("20240729_1256", 5), ("20240723_1700", 4)):
+    for when, rows in (("20250106_0900", 3), ("20250203_1430", 5), ("20250106_0900", 4)):
         snapshots.save_snapshot(spark.range(rows), root, when)
-    assert snapshots.latest_snapshot(spark, root) == "20240729_1256"
+    assert snapshots.latest_snapshot(spark, root) == "20250203_1430"
     assert snapshots.read_latest(spark, root).count() == 5
     counts = {r.snapshot: r["count"] for r in snapshots.read_snapshots(spark, root).groupBy("snapshot").count().collect()}
-    assert counts == {"20240723_1700": 4, "20240729_1256": 5}
+    assert counts == {"20250106_0900": 4, "20250203_1430": 5}
     plan = snapshots.read_latest(spark, root)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot" in plan
 
 
 def test_names_and_stamps():
-    assert snapshots.newest(["dataset_20240723_1700", "dataset_20240729_1256", "other_9"], "dataset").endswith("1256")
+    assert snapshots.newest(["dataset_20250106_0900", "dataset_20250203_1430", "other_9"], "dataset").endswith("1430")
     with pytest.raises(FileNotFoundError):
         snapshots.newest(["a"], "b")
-    assert snapshots.stamp(datetime(2024, 7, 29, 12, 56, 40)) == "20240729_1256"
+    assert snapshots.stamp(datetime(2025, 2, 3, 14, 30, 40)) == "20250203_1430"
 
 
 FIELDS = "Id;INT;int\nMonto;DECIMAL(10,2);float\nFecha;DATETIME;datetime\nGlosa;VARCHAR(3);str\n"
