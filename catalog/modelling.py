@@ -62,8 +62,10 @@ NUMERIC = [
 _ANGLE_DAY = """2 * pi() * (day(fechaprestacion) - 1) / (case when month(fechaprestacion) = 2 then 28
                 when month(fechaprestacion) in (4, 6, 9, 11) then 29 else 30 end)"""
 _ANGLE_MONTH = "2 * pi() * (month(fechaprestacion) - 1) / 11"
-_CYCLIC = f"""round(sin({_ANGLE_DAY}), 9) + 0.0 as day_sin, round(cos({_ANGLE_DAY}), 9) + 0.0 as day_cos,
-  round(sin({_ANGLE_MONTH}), 9) + 0.0 as month_sin, round(cos({_ANGLE_MONTH}), 9) + 0.0 as month_cos"""
+_CYCLIC_DAY = f"round(sin({_ANGLE_DAY}), 9) + 0.0 as day_sin, round(cos({_ANGLE_DAY}), 9) + 0.0 as day_cos"
+_CYCLIC_MONTH = f"round(sin({_ANGLE_MONTH}), 9) + 0.0 as month_sin, round(cos({_ANGLE_MONTH}), 9) + 0.0 as month_cos"
+_CYCLIC = f"{_CYCLIC_DAY}, {_CYCLIC_MONTH}"
+DAY, MONTH = ["day_sin", "day_cos"], ["month_sin", "month_cos"]
 _FONASA = "case when prevision = 'FONASA' then 1 else 0 end as fonasa"
 _HOLDER = "case when ruttitular = rutbeneficiario then 1 else 0 end as titular"
 
@@ -113,14 +115,16 @@ def fe2(wh):
     return openings.withColumns(features.one_hot("ClasificacionApertura", classes)).drop("ClasificacionApertura", "Vigencia")
 
 
-@source_query(
-    "fe3_fe4_cyclic_dates",
-    "orders",
-    f"select o_orderkey, {_CYCLIC.replace('fechaprestacion', 'o_orderdate')} from orders",
-)
-def fe3_fe4(orders):
+@source_query("fe3_cyclic_day", "orders", f"select o_orderkey, {_CYCLIC_DAY.replace('fechaprestacion', 'o_orderdate')} from orders")
+def fe3(orders):
+    cyclic = features.cyclic_dates("o_orderdate")
+    return rounded(orders.select("o_orderkey", *[cyclic[n].alias(n) for n in DAY]), DAY)
+
+
+@source_query("fe4_cyclic_month", "orders", f"select o_orderkey, {_CYCLIC_MONTH.replace('fechaprestacion', 'o_orderdate')} from orders")
+def fe4(orders):
     cyclic = features.cyclic_dates("o_orderdate")
-    return rounded(orders.withColumns(cyclic).select("o_orderkey", *cyclic), cyclic)
+    return rounded(orders.select("o_orderkey", *[cyclic[n].alias(n) for n in MONTH]), MONTH)
 
 
 @warehouse_query("fe5_holder_flag", f"with {_ROWS} select numerosolicitud, ruttitular, rutbeneficiario, {_HOLDER} from tipos")
@@ -154,7 +158,7 @@ def fe6(wh):
         from filas""",
 )
 def fe7(wh):
-    return rounded(prepared(wh).dataset(), ["day_sin", "day_cos", "month_sin", "month_cos"])
+    return rounded(prepared(wh).dataset(), DAY + MONTH)
 
 
 @warehouse_query(

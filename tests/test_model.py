@@ -151,7 +151,7 @@ def gappy(spark):
     frame = pd.DataFrame({"k": np.arange(600), "x1": x[:, 0], "x2": x[:, 1], "y": y, "c": (y > 4).astype(float)})
     frame.loc[::6, ["y", "c"]] = None
     frame.loc[1, "x1"] = None
-    return spark.createDataFrame(frame).select(
+    return spark.createDataFrame(frame).coalesce(1).select(
         "k", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ["x1", "x2", "y", "c"]]
     )
 
