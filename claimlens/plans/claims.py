@@ -145,9 +145,16 @@ def enrich_claims(wh: Warehouse, claims: DataFrame) -> DataFrame:
     )
 
 
-def fan_out(wh: Warehouse, claims: DataFrame, approved_only: bool) -> DataFrame:
-    """Enriched claims with documents and paid details, one row per detail."""
-    return claims.join(wh["siniestrodocumento"], "idsiniestro").join(details(wh, approved_only), "idSiniestroDocumento")
+def fan_out(wh: Warehouse, claims: DataFrame, approved_only: bool, branches: DataFrame | None = None) -> DataFrame:
+    """Claims with documents and paid details, one row per detail.
+
+    Branches, with their provider, are joined per document: what they filter out never
+    meets the details, the largest table.
+    """
+    documents = claims.join(wh["siniestrodocumento"], "idsiniestro")
+    if branches is not None:
+        documents = documents.join(branches, "idprestadorsucursal")
+    return documents.join(details(wh, approved_only), "idSiniestroDocumento")
 
 
 def repeat_rows(rows: DataFrame, times: Column) -> DataFrame:

@@ -44,9 +44,8 @@ def weighted_rows(wh: Warehouse, since: str, until: str, subgroup: str | None =
     """Approved, classified details of claims settled in the period, with the claim's settlement count."""
     in_period = claims.enrich_claims(wh, claims.claims_in_period(wh, since, until, plan_rule=False))
     return (
-        claims.fan_out(wh, in_period, approved_only=True)
+        claims.fan_out(wh, in_period, True, claims.providers(wh))
         .join(claims.classification_by_code(wh, subgroup), "CodigoBeneficio")
-        .join(claims.providers(wh), "idprestadorsucursal")
         .select(
             "RutTitular",
             F.col("RutSiniestrado").alias("RutBeneficiario"),

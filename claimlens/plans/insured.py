@@ -35,8 +35,7 @@ def cohort_rows(wh: Warehouse, since: str, until: str) -> DataFrame:
     """Distinct approved details of the period, classified where a class is known."""
     in_period = claims.enrich_claims(wh, claims.claims_in_period(wh, since, until, plan_rule=True))
     return (
-        claims.fan_out(wh, in_period, approved_only=True)
-        .join(claims.providers(wh).select("idprestadorsucursal"), "idprestadorsucursal")
+        claims.fan_out(wh, in_period, True, claims.providers(wh).select("idprestadorsucursal"))
         .join(claims.benefit_groups(wh), "IdGrupo")
         .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
         .select(
@@ -109,8 +108,7 @@ def holder_history(wh: Warehouse, windows: DataFrame) -> DataFrame:
         .join(persons(wh, "siniestrado", "IdSiniestrado"), "IdSiniestrado")
     )
     details = (
-        claims.fan_out(wh, claim, approved_only=False)
-        .join(claims.providers(wh).drop("NombrePrestador"), "idprestadorsucursal")
+        claims.fan_out(wh, claim, False, claims.providers(wh).drop("NombrePrestador"))
         .join(claims.benefit_groups(wh), "IdGrupo")
         .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
         .join(claims.rejection_counts(wh), "idliquidaciondetalle", "left")
@@ -156,36 +154,34 @@ def person_diagnoses(
 ) -> DataFrame:
     """Distinct mental-health diagnoses per holder and person.
 
-    Only distinct counts, minimum and maximum are taken, so every table that adds no column
-    is a semi-join and a claim is never multiplied. Keys are made distinct before they move:
-    a person with a third of the history is one row per task by then.
+    The claims of those people are picked first; only theirs meet documents and details.
+    Keys of the semi-joins are made distinct before they move, and so are the diagnoses: a
+    person with a third of the history is a handful of rows per task by then.
     """
-    mental_details = (
-        wh["siniestrodocumento"]
-        .join(claims.details(wh, approved_only=True), "idSiniestroDocumento")
-        .join(claims.benefit_groups(wh), "IdGrupo")
-        .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
-        .where(rules.is_mental_health("GlosaBeneficio", "ClasificacionSubgrupo"))
-        .select("idsiniestro")
-        .distinct()
-    )
     known = wh["diagnostico"].where(rules.diagnosis_in_scope("idDiagnostico", "codigo")).select(
-        F.col("idDiagnostico").alias("idcausaprimaria"), "Glosa"
+        F.col("idDiagnostico").alias("idcausaprimaria"), F.col("Glosa").alias("Diagnostico")
     )
     last = F.localtimestamp() if until is None else until
-    return (
+    diagnosed = (
         claims.valid_claims(wh, plan_rule=False)
         .where(F.col("FechaRecepcionLiquidacionVC").between(day_literal(since), last))
         .where("idcausaprimaria != 0")
         .join(known, "idcausaprimaria")
         .join(people.select("RutSiniestrado").distinct(), "RutSiniestrado", "left_semi")
         .join(wh["denuncio"], "iddenuncio", "left_semi")
-        .join(mental_details, "idsiniestro", "left_semi")
+    )
+    return (
+        claims.fan_out(wh, diagnosed, True)
+        .join(claims.benefit_groups(wh), "IdGrupo")
+        .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
+        .where(rules.is_mental_health("GlosaBeneficio", "ClasificacionSubgrupo"))
+        .select("RutTitular", "RutSiniestrado", "Diagnostico")
+        .distinct()
         .groupBy("RutTitular", "RutSiniestrado")
         .agg(
-            F.countDistinct("Glosa").alias("Diagnosticos"),
-            F.max("Glosa").alias("Diagnostico1"),
-            F.min("Glosa").alias("Diagnostico2"),
+            F.count("Diagnostico").alias("Diagnosticos"),
+            F.max("Diagnostico").alias("Diagnostico1"),
+            F.min("Diagnostico").alias("Diagnostico2"),
         )
     )
 
@@ -236,8 +232,7 @@ def provider_profiles(wh: Warehouse, windows: DataFrame) -> DataFrame:
         within("FechaRecepcionLiquidacionVC", windows, "FechaDesde", "FechaHasta")
     )
     rows = (
-        claims.fan_out(wh, claims.enrich_claims(wh, claim), approved_only=True)
-        .join(branches, "idprestadorsucursal")
+        claims.fan_out(wh, claims.enrich_claims(wh, claim), True, branches)
         .where(F.col("FechaRecepcionLiquidacionVC").between(F.col("FechaDesde"), F.col("FechaHasta")))
         .join(claims.benefit_groups(wh), "IdGrupo")
     )
