@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, tree_bpe, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, tree_bpe, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -43,3 +43,9 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = weak_toxicity.fit(documents, table(spark, folder, "labels"))
     scored = weak_toxicity.predict(documents.select("doc_id", "text"), model, keep=["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), F.col("score"), "predicted")
+
+
+@query("op7_divergence_rules")
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return divergence_rules.judge(documents, divergence_rules.references(documents))
