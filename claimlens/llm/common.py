@@ -104,10 +104,10 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     if len(words) == 0:
         return words
     if len(words) < width:
-        total = np.uint64(len(words))
-        for w in words:
-            total = mix(total * _POSITION_STEP + w)
-        return np.array([total], np.uint64)
+        total = np.full(1, len(words), np.uint64)
+        for k in range(len(words)):
+            total = mix(total * _POSITION_STEP + words[k : k + 1])
+        return total
     total = np.full(len(words) - width + 1, np.uint64(width))
     for k in range(width):
         total = mix(total * _POSITION_STEP + words[k : len(words) - width + 1 + k])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, tree_bpe, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, token_group_join, tree_bpe, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -49,3 +49,8 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return divergence_rules.judge(documents, divergence_rules.references(documents))
+
+
+@query("op10_token_group_join")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return token_group_join.link(table(spark, folder, "documents"))
