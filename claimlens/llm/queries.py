@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, token_group_join, tree_bpe, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -54,3 +54,30 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_group_join")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return token_group_join.link(table(spark, folder, "documents"))
+
+
+# Base 32 of a SHA-1 from its 40 hexadecimal digits: five of them are four letters.
+BASE32 = """
+list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform(range(0, 4), lambda j:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, (5 * i + 1)::integer, 5))::bigint >> (5 * (3 - j))) & 31)::integer + 1, 1)),
+  'string_agg', '')), 'string_agg', '')
+"""
+
+
+@query(
+    "op9_warc_segments",
+    f"""
+    with payloads as (
+      select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+    ), placed as (
+      select *, min(page_id) over (partition by html) as first_page from payloads
+    )
+    select page_id, octet_length(encode(html))::bigint as payload_bytes, {BASE32} as payload_digest,
+           case when page_id = first_page then 'response' else 'revisit' end as record_type,
+           case when page_id <> first_page then first_page end as refers_to
+    from placed
+    """,
+)
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_segments.archived(table(spark, folder, "pages"))
