@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, token_group_join, tree_bpe, warc_segments, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, impact_search, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -81,3 +81,24 @@ list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transfo
 )
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     return warc_segments.archived(table(spark, folder, "pages"))
+
+
+@query(
+    "op8_impact_search",
+    """
+    with q as (
+      select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+      where vec_id is not null and embedding is not null
+        and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    ), scored as (
+      select a.vec_id as query_id, b.vec_id as vec_id, list_inner_product(a.v::double[], b.v::double[])::bigint as score
+      from q a join q b on a.vec_id <> b.vec_id
+      where a.vec_id % 50 = 0
+    ), ranked as (
+      select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored
+    )
+    select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+)
+def nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.search(table(spark, folder, "embeddings"))
