@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, impact_search, token_group_join, tree_bpe, warc_segments, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -102,3 +102,34 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
 )
 def nearest(spark: SparkSession, folder: str) -> DataFrame:
     return impact_search.search(table(spark, folder, "embeddings"))
+
+
+@query(
+    "op1_line_frequency",
+    """
+    with lines as (
+      select doc_id, source, n, line, regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') as own
+      from (select doc_id, source, unnest(string_split(text, chr(10))) as line,
+                   unnest(range(1, len(string_split(text, chr(10))) + 1)) as n from documents)
+    ), sites as (
+      select source, count(*) as pages from documents where source is not null group by source
+    ), often as (
+      select l.source, l.own from lines l join sites s on s.source = l.source where l.own <> ''
+      group by l.source, l.own, s.pages
+      having count(distinct l.doc_id) >= 3 and count(distinct l.doc_id) > 0.02 * s.pages
+    ), kept as (
+      select l.doc_id, string_agg(l.line, chr(10) order by l.n) filter (where o.own is null) as text,
+             count(*) as n_lines, count(o.own) as n_dropped
+      from lines l left join often o on o.source = l.source and o.own = l.own
+      group by l.doc_id
+    )
+    select d.doc_id, d.lang, d.source, case when d.text is not null then coalesce(k.text, '') end as text,
+           coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(k.n_dropped, 0)::bigint as n_dropped
+    from documents d left join kept k on k.doc_id = d.doc_id
+    """,
+)
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return line_frequency.without_boilerplate(documents, "source").select(
+        "doc_id", "lang", "source", "text", "n_lines", "n_dropped"
+    )
