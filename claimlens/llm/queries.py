@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, token_group_join, tree_bpe, warc_segments, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, page_difference, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -133,3 +133,8 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.without_boilerplate(documents, "source").select(
         "doc_id", "lang", "source", "text", "n_lines", "n_dropped"
     )
+
+
+@query("op2_page_difference")
+def main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return page_difference.extract(table(spark, folder, "pages"))
