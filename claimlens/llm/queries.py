@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, page_difference, token_group_join, tree_bpe, warc_segments, weak_toxicity
+from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, page_difference, retrieval_packing, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -138,3 +138,8 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_page_difference")
 def main_texts(spark: SparkSession, folder: str) -> DataFrame:
     return page_difference.extract(table(spark, folder, "pages"))
+
+
+@query("op3_retrieval_packing")
+def sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return retrieval_packing.pack(table(spark, folder, "documents")).drop("ids")
