@@ -148,3 +148,20 @@ def predict(
     schema = T.StructType([documents.schema[c] for c in keep]).add(new[0], "string").add(new[1], "double")
     source = documents.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text).alias("__text"))
     return source.mapInArrow(classify, schema.add(new[2], "boolean"))
+
+
+def accepted(documents: DataFrame, dictionaries: dict[str, bytes], text: str = "text", narrow: float = NARROW) -> DataFrame:
+    """The rows, with all their columns, that ``predict`` does not reject."""
+    shared = documents.sparkSession.sparkContext.broadcast(dictionaries)  # bounded by the fit's sample
+    place = documents.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(shared.value)
+        for batch in batches:
+            clear = []
+            for value in batch.column(place).to_pylist():
+                words = letters(value or "") if sizes.languages else ""
+                clear.append(bool(words) and not decide(sizes.of(words), sizes.languages, narrow)[2])
+            yield batch.filter(pa.array(clear, pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)

@@ -358,3 +358,18 @@ def predict(documents: DataFrame, model: Model, text: str = "text", keep: list[s
     schema = T.StructType([documents.schema[c] for c in keep]).add("score", "double").add("predicted", "integer")
     source = documents.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text).alias("__text"))
     return source.mapInArrow(score, schema)
+
+
+def accepted(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is below ``REJECTED_FROM``."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # lists bounded by ENTRIES
+    place = documents.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        voters = Voters(known.lists)
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            yield batch.filter(pa.array([known.score(voters, t or "") < REJECTED_FROM for t in texts], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
