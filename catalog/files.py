@@ -96,6 +96,13 @@ def src5(spark, folder):
     return snapshots.read_latest(spark, two_snapshots(spark, folder))
 
 
+@query("src5_newest_snapshot_is_empty", "select o_orderkey from orders where false")
+def src5_empty(spark, folder):
+    root = two_snapshots(spark, folder)
+    snapshots.save_snapshot(snapshots.read_latest(spark, root).limit(0), root, "20991231_0900")
+    return snapshots.read_latest(spark, root).select("o_orderkey")
+
+
 @query("lim3_latest_snapshot", f"select '{SECOND}' as snapshot, max(o_orderdate) as ultima from orders")
 def lim3(spark, folder):
     root = two_snapshots(spark, folder)
@@ -220,13 +227,32 @@ def snk2(spark, folder):
     jobs.prepare_snapshot(spark, root, "test", "saludmental", DETAIL_TYPES)
     base = f"{root}/test/saludmental"
     bundle = snapshots.read_bundle(spark, base)
-    stamp = snapshots.latest_snapshot(spark, f"{base}/prepared/dataset")
+    stamp = snapshots.latest_bundle(spark, base)
     roles = bundle["variables"].where("role = 'information'").agg(F.count(F.lit(1)).cast("int")).scalar()
     return snapshots.join_bundle(bundle).agg(
         F.lit(stamp).alias("stamp"), F.count(F.lit(1)).alias("filas"), F.max(roles).alias("informacion")
     )
 
 
+@query(
+    "snk2_newest_complete_bundle",
+    f"""select '{FIRST}' as stamp, count(*) as filas, sum(p_partkey)::bigint as claves, sum(p_size)::bigint as tallas from part""",
+)
+def snk2_complete(spark, folder):
+    """A bundle whose newer tables are not all there yet: the older one is read, all of it."""
+    root, part = scratch_path(spark, "bundle"), StandIn(spark, folder).source("part")
+    features = part.select(F.col("p_partkey").alias("uniqueid"), "p_size")
+    for name, rows in (("dataset", features), ("information", part.selectExpr("p_partkey as uniqueid", "p_partkey")), ("variables", features)):
+        snapshots.save_snapshot(rows, f"{root}/prepared/{name}", FIRST)
+    snapshots.save_snapshot(features.limit(1), f"{root}/prepared/dataset", SECOND)
+    return snapshots.join_bundle(snapshots.read_bundle(spark, root)).agg(
+        F.lit(snapshots.latest_bundle(spark, root)).alias("stamp"),
+        F.count(F.lit(1)).alias("filas"),
+        F.sum("p_partkey").alias("claves"),
+        F.sum("p_size").alias("tallas"),
+    )
+
+
 @query("ml6_scored_bundle")
 def ml6_bundle(spark, folder):
     root = scratch_path(spark, "model")

@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from claimlens.operators.anomaly import score_rows
-from claimlens.operators.features import Prepared, apply_types, lower_names, prepare
+from claimlens.functions.text import quoted
+from claimlens.operators.features import ROW_ID, Prepared, apply_types, lower_names, prepare
 from claimlens.operators.rowid import add_row_id
 from claimlens.plans.detail import detail_extract
 from claimlens.plans.insured import insured_extract
@@ -22,11 +23,12 @@ EXTRACTS: Mapping[tuple[str, str], Mapping[str, Callable[..., DataFrame]]] = {
     ("asegurado", "saludmental"): {"query_1": insured_extract},
 }
 
-# Columns of the detail extract that identify a row: its grouping, without the texts that follow from ids.
+# Columns of the detail extract that tell rows apart: all but the texts that follow from ids.
 DETAIL_ORDER = [
     "ruttitular", "rutbeneficiario", "numerosolicitud", "fechaprestacion", "fecharecepcionliquidacion", "prevision",
     "rutprestador", "nombreprestador", "idgrupoprestacion", "idsubgrupoprestacion", "idaperturaprestacion",
     "cantidad", "valorprestacionclp", "valorreclamadoclp", "valorpagoclp",
+    "valorprestacionuf", "valorpagouf", "costounitarioclp",
 ]
 
 
@@ -71,5 +73,8 @@ def prepare_snapshot(spark: SparkSession, root: str, model: str, dataset: str, c
 def score_snapshot(spark: SparkSession, root: str, model: str, dataset: str, threshold: float = 0.95) -> tuple[DataFrame, tuple[int, float, float]]:
     """Score the newest prepared bundle."""
     bundle = snapshots.read_bundle(spark, f"{root}/{model}/{dataset}")
-    features = [c for c in bundle["dataset"].columns if c != "uniqueid"]
-    return score_rows(snapshots.join_bundle(bundle), features, threshold)
+    features = [c for c in bundle["dataset"].columns if c != ROW_ID]
+    scored, choice = score_rows(bundle["dataset"], features, threshold)
+    # Fitted and scored without the information, which is joined once, by a key of one row each.
+    joined = snapshots.join_bundle({**bundle, "dataset": scored})
+    return joined.select("anomalyscore", *quoted(c for c in joined.columns if c != "anomalyscore")), choice

@@ -12,6 +12,7 @@ from claimlens.operators.features import ROW_ID, Prepared
 
 SNAPSHOT = "snapshot"
 BUNDLE = ["dataset", "information", "variables"]
+COMPLETE = "_SUCCESS"  # what the writer leaves last
 
 
 def stamp(now: datetime) -> str:
@@ -36,17 +37,38 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("basePath", root).parquet(root).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
+def stamps(spark: SparkSession, root: str) -> list[str]:
+    """Stamps of the complete snapshots below ``root``, oldest first, with or without rows in them.
+
+    Folder names are listed, no file is opened. A snapshot is complete once its writer has
+    left the marker that it writes last; a missing root has none.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    names = [(s.getPath(), s.getPath().getName()) for s in store.listStatus(folder)]
+    done = [n for path, n in names if n.startswith(f"{SNAPSHOT}=") and store.exists(hadoop.Path(path, COMPLETE))]
+    return sorted(n.removeprefix(f"{SNAPSHOT}=") for n in done)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> str:
-    """Newest stamp below ``root``; reads partition names, no data columns."""
-    found = read_snapshots(spark, root).agg(F.max(SNAPSHOT)).first()[0]
-    if found is None:
+    """Newest stamp below ``root``."""
+    found = stamps(spark, root)
+    if not found:
         raise FileNotFoundError(f"no snapshot in {root}")
-    return found
+    return found[-1]
+
+
+def read_snapshot(spark: SparkSession, root: str, when: str) -> DataFrame:
+    """Rows of one snapshot; no other folder is listed or read."""
+    return spark.read.parquet(f"{root}/{SNAPSHOT}={when}")
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest snapshot; the filter prunes all other partitions."""
-    return read_snapshots(spark, root).where(F.col(SNAPSHOT) == latest_snapshot(spark, root)).drop(SNAPSHOT)
+    """Rows of the newest snapshot, none if it was saved without any."""
+    return read_snapshot(spark, root, latest_snapshot(spark, root))
 
 
 def save_bundle(prepared: Prepared, root: str, when: str) -> None:
@@ -56,9 +78,18 @@ def save_bundle(prepared: Prepared, root: str, when: str) -> None:
     save_snapshot(prepared.variables().coalesce(1), f"{root}/prepared/variables", when)
 
 
+def latest_bundle(spark: SparkSession, root: str) -> str:
+    """The newest stamp under which all tables of a bundle are complete."""
+    found = set.intersection(*[set(stamps(spark, f"{root}/prepared/{name}")) for name in BUNDLE])
+    if not found:
+        raise FileNotFoundError(f"no complete bundle in {root}")
+    return max(found)
+
+
 def read_bundle(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The newest prepared bundle; its tables share the row id."""
-    return {name: read_latest(spark, f"{root}/prepared/{name}") for name in BUNDLE}
+    """The newest complete bundle; its tables have one stamp and share the row id."""
+    when = latest_bundle(spark, root)
+    return {name: read_snapshot(spark, f"{root}/prepared/{name}", when) for name in BUNDLE}
 
 
 def join_bundle(bundle: Mapping[str, DataFrame]) -> DataFrame:

@@ -33,8 +33,29 @@ def test_snapshots_keep_each_other_and_the_newest_is_read(spark, tmp_path):
     assert snapshots.read_latest(spark, root).count() == 5
     counts = {r.snapshot: r["count"] for r in snapshots.read_snapshots(spark, root).groupBy("snapshot").count().collect()}
     assert counts == {"20250106_0900": 4, "20250203_1430": 5}
-    plan = snapshots.read_latest(spark, root)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(snapshot" in plan
+    assert all("20250203_1430" in f for f in snapshots.read_latest(spark, root).inputFiles())
+
+
+def test_newest_snapshot_may_be_empty(spark, tmp_path):
+    root = str(tmp_path / "s")
+    snapshots.save_snapshot(spark.range(5), root, "20250106_0900")
+    snapshots.save_snapshot(spark.range(5).limit(0), root, "20250203_0900")
+    assert snapshots.latest_snapshot(spark, root) == "20250203_0900"
+    assert snapshots.read_latest(spark, root).collect() == []
+    (tmp_path / "s/snapshot=20250301_0900").mkdir()  # a writer that has not finished
+    assert snapshots.latest_snapshot(spark, root) == "20250203_0900"
+    with pytest.raises(FileNotFoundError):
+        snapshots.latest_snapshot(spark, str(tmp_path / "none"))
+
+
+def test_bundle_has_one_stamp(spark, tmp_path):
+    root = str(tmp_path)
+    for when, names in (("20250106_0900", snapshots.BUNDLE), ("20250203_0900", ["dataset"])):
+        for name in names:
+            rows = spark.createDataFrame([(1, f"{name}{when}")], "uniqueid int, v string")
+            snapshots.save_snapshot(rows, f"{root}/prepared/{name}", when)
+    assert snapshots.latest_bundle(spark, root) == "20250106_0900"
+    assert snapshots.read_bundle(spark, root)["dataset"].first().v == "dataset20250106_0900"
 
 
 def test_names_and_stamps():
