@@ -2,116 +2,69 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-from itertools import combinations_with_replacement
-
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import magnitude_class, magnitude_mark
+from claimlens.functions.text import named
 
-# Aggregation buffer fields per pass: Spark compiles an aggregate up to 100 of them. More
-# columns take more passes over fewer columns each, instead of one interpreted pass.
-FIELDS_PER_PASS = 90
-FIELDS_OF_COVARIANCE = 4
-
-
-@dataclass
-class _Column:
-    """One input column: its name in SQL, whether it has gaps, and the value it is shifted by."""
-
-    sql: str
-    gaps: bool
-    shift: float
-
-    def shifted(self) -> str:
-        return f"({self.sql} - double('{self.shift!r}'))"
-
-
-def _inspect(frame: DataFrame, columns: list[str]) -> tuple[list[_Column], int]:
-    """First pass: gaps and mean. A constant column is shifted by its own value, to exact zeros."""
-    found = frame.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[
-            F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
-            for c in columns
-        ],
-    ).first()
-    out = []
-    for c in columns:
-        n, mean, low, high = found[c]
-        shift = low if low == high else mean
-        out.append(_Column("`" + c.replace("`", "``") + "`", n < found["rows"], 0.0 if shift is None else shift))
-    return out, found["rows"]
-
-
-def _moments(x: _Column, y: _Column, rows: int) -> tuple[dict[str, str], str]:
-    """Aggregates of a pair by alias, and its correlation from them.
-
-    Complete columns need one sum of products per pair. With gaps, the variances belong to
-    the rows where both are present; they are covariances of a column with itself, so that
-    equal and opposite columns give exactly 1 and -1 in both cases.
-    """
-    if not (x.gaps or y.gaps):
-        sums = {}
-        for a, b in ((x, x), (y, y), (x, y)):
-            sums[f"sum({a.shifted()} * {b.shifted()})"] = "product"
-            sums[f"sum({a.shifted()})"] = sums[f"sum({b.shifted()})"] = "sum"
-
-        def covariance(a: _Column, b: _Column) -> str:
-            return f"(sum({a.shifted()} * {b.shifted()}) - sum({a.shifted()}) * sum({b.shifted()}) / {max(rows, 1)})"
-    else:
-        own_x = f"if({y.sql} is null, null, {x.sql})" if y.gaps else x.sql
-        own_y = f"if({x.sql} is null, null, {y.sql})" if x.gaps else y.sql
-        own = {id(x): own_x, id(y): own_y}
-        sums = {f"covar_pop({a}, {b})": "covariance" for a, b in ((own_x, own_x), (own_y, own_y), (own_x, own_y))}
+# A variance below this share of the sum of squares that it is taken from is rounding.
+ROUNDING = 1e-11
 
-        def covariance(a: _Column, b: _Column) -> str:
-            return f"covar_pop({own[id(a)]}, {own[id(b)]})"
 
-    r = f"try_divide({covariance(x, y)}, sqrt({covariance(x, x)} * {covariance(y, y)}))"
-    return sums, r
+def _shifts(frame: DataFrame) -> list[float | None]:
+    """First pass: the value that each column is shifted by, its mean. A constant column is shifted by
+    its own value, to exact zeros; a column without a value has none."""
+    found = frame.agg(*[F.struct(F.avg(c), F.min(c), F.max(c)).alias(c) for c in frame.columns]).first()
+    return [low if low == high else mean for mean, low, high in found]
 
 
-def _fields(sums: dict[str, str]) -> int:
-    return sum(FIELDS_OF_COVARIANCE if kind == "covariance" else 1 for kind in sums.values())
+def _gramian(frame: DataFrame, shifts: list[float | None]) -> np.ndarray:
+    """Second pass: sums of products of all pairs among the shifted values, their squares and the marks
+    of presence; a missing value is 0 in all three. Executors sum matrices of (3 d)^2 numbers."""
+    if not any(s is not None for s in shifts):
+        return np.zeros((3 * len(shifts), 3 * len(shifts)))
+    values = [F.col(c) - F.lit(s or 0.0) for c, s in zip(frame.columns, shifts, strict=True)]
+    here = [F.coalesce(v, F.lit(0.0)) for v in values]
+    marks = [v.isNotNull().cast("double") for v in values]
+    parts = [*here, *[v * v for v in here], *marks]
+    names = [f"p{i}" for i in range(len(parts))]
+    rows = frame.select([c.alias(n) for n, c in zip(names, parts, strict=True)])
+    rows = VectorAssembler(inputCols=names, outputCol="v").transform(rows).select("v")
+    rows = MLUtils.convertVectorColumnsFromML(rows, "v")
+    return RowMatrix(rows, numCols=len(parts)).computeGramianMatrix().toArray()
 
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Square Pearson matrix as rows (Fila, Columna, fila_pos, columna_pos, r).
 
-    Undefined values (a constant column) are NULL.
+    A pair's correlation is that of the rows where both are present. Undefined values (a
+    constant column, no such rows) are NULL. The data is read twice, whatever the number of
+    columns; the result, columns x columns, is a local table that reports read again.
     """
-    frame = df.select([F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
-    found, rows = _inspect(frame, columns)
-
-    passes: list[tuple[dict[str, str], list[tuple[int, int, str]]]] = [({}, [])]
-    for i, j in combinations_with_replacement(range(len(columns)), 2):
-        sums, r = _moments(found[i], found[j], rows)
-        if passes[-1][0] and _fields(passes[-1][0] | sums) > FIELDS_PER_PASS:
-            passes.append(({}, []))
-        passes[-1][0].update(sums)
-        passes[-1][1].append((i, j, r))
-
-    parts = []
-    for _, pairs in passes:
-        row = frame.agg(*[F.expr(r).alias(f"r_{i}_{j}") for i, j, r in pairs])
-        cells = [
-            f"named_struct('fila_pos', {a}, 'columna_pos', {b}, 'r', r_{i}_{j})"
-            for i, j, _ in pairs
-            for a, b in sorted({(i, j), (j, i)})
-        ]
-        parts.append(row.select(F.expr(f"inline(array({', '.join(cells)}))")))
-    names = F.array(*[F.lit(c) for c in columns])
-    r = F.col("r")
-    return reduce(DataFrame.unionByName, parts).select(
-        names[F.col("fila_pos")].alias("Fila"),
-        names[F.col("columna_pos")].alias("Columna"),
-        "fila_pos",
-        "columna_pos",
-        F.when(F.abs(r) > 1, F.signum(r)).otherwise(r).alias("r"),
+    frame = df.select(
+        [F.nanvl(named(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)]
     )
+    d = len(columns)
+    sums = _gramian(frame, _shifts(frame))
+    n, own = sums[2 * d :, 2 * d :], sums[:d, 2 * d :]  # own[i, j]: sum of i where j is present
+    with np.errstate(all="ignore"):
+        product = sums[:d, :d] - own * own.T / n
+        square = sums[d : 2 * d, 2 * d :]
+        spread = square - own * own / n
+        spread[~(spread > ROUNDING * square)] = 0.0
+        r = product / np.sqrt(spread * spread.T)
+    rows = [
+        (columns[i], columns[j], i, j, float(np.clip(r[i, j], -1, 1)) if np.isfinite(r[i, j]) else None)
+        for i in range(d)
+        for j in range(d)
+    ]
+    schema = "Fila string, Columna string, fila_pos int, columna_pos int, r double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def lower_triangle(matrix: DataFrame) -> DataFrame:
