@@ -78,10 +78,7 @@ def ps1(orders):
         from anomalas a cross join eje e left join matriz m on m.poliza = a.poliza and m.periodo = e.periodo where a.CASO = 1""",
 )
 def ps1_series(orders):
-    found = matrix(orders)
-    axis = policies.periods_of(found)
-    wide = policies.anomalous_policies(found, axis)
-    return wide.unpivot(["POLIZA", "CASO", *policies.FLAGS], axis, "periodo", "valor")
+    return policies.anomalous_series(matrix(orders))
 
 
 @source_query(

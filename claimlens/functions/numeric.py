@@ -9,7 +9,9 @@ from claimlens.functions.text import _col
 
 
 def round_even(c: Column | str, digits: int = 0) -> Column:
-    """Scale, round half to even, scale back: the floating-point rule of array libraries."""
+    """Scale, round half to even, scale back: the floating-point rule of array libraries.
+
+    For doubles; a decimal loses digits beyond the fifteenth here, ``bround`` keeps them."""
     scale = 10.0**digits
     return F.rint(_col(c).cast("double") * scale) / scale
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def quoted(names: Iterable[str]) -> list[Column]:
+    return [named(n) for n in names]
+
+
 def pad_id(c: Column | str) -> Column:
     """Ten zeros in front of the first ten characters, then the last twelve.
 

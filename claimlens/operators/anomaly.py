@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.functions.text import named, quoted
 from claimlens.operators.rowid import number_of_id
 
 HOVER = [
@@ -20,6 +21,10 @@ HOVER = [
 ]
 
 
+# Names of our own beside the data's columns.
+VECTOR, SCORES = "__z", "__scores"
+
+
 @dataclass
 class Scaling:
     """Mean and population standard deviation per column."""
@@ -33,7 +38,7 @@ class Scaling:
 def fit_scaling(df: DataFrame, columns: list[str]) -> Scaling:
     """One aggregate over the data; two numbers per column come back."""
     row = df.agg(
-        *[F.avg(c) for c in columns], *[F.stddev_pop(c) for c in columns], F.count(F.lit(1))
+        *[F.avg(c) for c in quoted(columns)], *[F.stddev_pop(c) for c in quoted(columns)], F.count(F.lit(1))
     ).first()
     d = len(columns)
     return Scaling(columns, list(row[:d]), list(row[d : 2 * d]), row[2 * d])
@@ -42,18 +47,20 @@ def fit_scaling(df: DataFrame, columns: list[str]) -> Scaling:
 def zscore(name: str, mean: float, deviation: float) -> Column:
     """Standardised column; a constant one becomes 0."""
     if not deviation:
-        return F.when(F.col(name).isNotNull(), F.lit(0.0)).alias(name)
-    return ((F.col(name) - F.lit(mean)) / F.lit(deviation)).alias(name)
+        return F.when(named(name).isNotNull(), F.lit(0.0)).alias(name)
+    return ((named(name) - F.lit(mean)) / F.lit(deviation)).alias(name)
 
 
 def standardize(df: DataFrame, scaling: Scaling) -> DataFrame:
     """Every scaled column replaced by its z-score; other columns pass through."""
     z = {n: zscore(n, m, s) for n, m, s in zip(scaling.columns, scaling.mean, scaling.deviation, strict=True)}
-    return df.select([z.get(c, F.col(c)) for c in df.columns])
+    return df.select([z[c] if c in z else named(c) for c in df.columns])
 
 
-def assemble(df: DataFrame, columns: list[str], name: str = "z") -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol=name).transform(df)
+def assemble(df: DataFrame, columns: list[str], name: str = VECTOR) -> DataFrame:
+    """Add the columns as one vector; the assembler sees plain names only."""
+    plain = {f"__part{i}": c for i, c in enumerate(quoted(columns))}
+    return VectorAssembler(inputCols=list(plain), outputCol=name).transform(df.withColumns(plain)).drop(*plain)
 
 
 @dataclass
@@ -79,7 +86,7 @@ class Components:
 def fit_components(z: DataFrame, scaling: Scaling) -> Components:
     """Fit on the covariance matrix: executors sum d-by-d parts, the driver decomposes one."""
     d = len(scaling.columns)
-    model = PCA(k=d, inputCol="z", outputCol="scores").fit(assemble(z.select(scaling.columns), scaling.columns))
+    model = PCA(k=d, inputCol=VECTOR, outputCol=SCORES).fit(assemble(z.select(quoted(scaling.columns)), scaling.columns))
     return Components(model, model.explainedVariance.toArray(), model.pc.toArray(), scaling)
 
 
@@ -109,15 +116,15 @@ def explained_variance(z: DataFrame, components: Components) -> DataFrame:
 def with_scores(z: DataFrame, components: Components) -> DataFrame:
     """Add the coordinates of each row along all components, as an array."""
     projected = components.model.transform(assemble(z, components.scaling.columns))
-    return projected.withColumn("scores", vector_to_array("scores")).drop("z")
+    return projected.withColumn(SCORES, vector_to_array(SCORES)).drop(VECTOR)
 
 
 def whitened(z: DataFrame, components: Components, k: int) -> DataFrame:
     """The first k coordinates divided by their standard deviation, as columns 0 … k-1."""
     spread = np.sqrt(components.eigenvalues()[:k])
-    rest = [c for c in z.columns if c not in components.scaling.columns]
+    rest = quoted(c for c in z.columns if c not in components.scaling.columns)
     return with_scores(z, components).select(
-        *rest, *[(F.col("scores")[j] / F.lit(float(spread[j]))).alias(str(j)) for j in range(k)]
+        *rest, *[(F.col(SCORES)[j] / F.lit(float(spread[j]))).alias(str(j)) for j in range(k)]
     )
 
 
@@ -125,10 +132,10 @@ def reconstruct(z: DataFrame, components: Components, k: int) -> DataFrame:
     """Standardised columns rebuilt from the first k coordinates; whitening cancels out."""
     columns = components.scaling.columns
     rebuilt = {
-        name: reduce(Column.__add__, [F.col("scores")[j] * F.lit(float(components.vectors[i, j])) for j in range(k)])
+        name: reduce(Column.__add__, [F.col(SCORES)[j] * F.lit(float(components.vectors[i, j])) for j in range(k)])
         for i, name in enumerate(columns)
     }
-    rest = [c for c in z.columns if c not in columns]
+    rest = quoted(c for c in z.columns if c not in columns)
     return with_scores(z, components).select(*rest, *[v.alias(n) for n, v in rebuilt.items()])
 
 
@@ -140,9 +147,9 @@ def anomaly_scores(z: DataFrame, components: Components, k: int) -> DataFrame:
     rebuilding any column and without cancellation near zero.
     """
     left = len(components.scaling.columns) - k
-    missed = F.slice("scores", k + 1, left)
+    missed = F.slice(SCORES, k + 1, left)
     norm = F.sqrt(F.aggregate(missed, F.lit(0.0), lambda total, s: total + s * s))
-    return with_scores(z, components).withColumn("anomalyscore", norm).drop("scores")
+    return with_scores(z, components).withColumn("anomalyscore", norm).drop(SCORES)
 
 
 def score_rows(df: DataFrame, features: list[str], threshold: float = 0.95) -> tuple[DataFrame, tuple[int, float, float]]:
@@ -153,10 +160,10 @@ def score_rows(df: DataFrame, features: list[str], threshold: float = 0.95) -> t
     scaling = fit_scaling(df, features)
     components = fit_components(standardize(df, scaling), scaling)
     choice = choose_components(components.ratio, threshold)
-    raw = F.struct(*[F.col(c) for c in df.columns]).alias("row")
+    raw = F.struct(*quoted(df.columns)).alias("__row")
     z = [zscore(n, m, s) for n, m, s in zip(features, scaling.mean, scaling.deviation, strict=True)]
     scored = anomaly_scores(df.select(raw, *z), components, choice[0])
-    return scored.select("anomalyscore", "row.*"), choice
+    return scored.select("anomalyscore", "__row.*"), choice
 
 
 def inspection_series(result: DataFrame, hover: list[str] = HOVER) -> DataFrame:

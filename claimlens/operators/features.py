@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.dates import day_angle, month_angle, settlement_lag
 from claimlens.functions.numeric import flag
 from claimlens.functions.rules import is_public
+from claimlens.functions.text import quoted
 
 # Type names of the column config, the columns set apart as information, and
 # the columns shown beside the score.
@@ -44,14 +45,9 @@ def apply_types(df: DataFrame, config: dict[str, dict], keep: tuple[str, ...] =
     )
 
 
-def classes_of(df: DataFrame, column: str, at_most: int = 1000) -> list[str]:
-    """Sorted lower-case classes of a column.
-
-    Each class becomes a column, so a column with more than ``at_most`` classes is refused.
-    """
-    found = df.select(F.lower(column).alias("c")).where("c is not null").distinct().limit(at_most + 1).collect()
-    if len(found) > at_most:
-        raise ValueError(f"{column} has more than {at_most} classes: not a categorical column")
+def classes_of(df: DataFrame, column: str) -> list[str]:
+    """Sorted lower-case classes of a column, for callers who have not declared them."""
+    found = df.select(F.lower(column).alias("c")).where("c is not null").distinct().collect()
     return sorted(row.c for row in found)
 
 
@@ -96,10 +92,10 @@ class Prepared:
     extracted: list[str]
 
     def dataset(self) -> DataFrame:
-        return self.frame.select(ROW_ID, *self.features)
+        return self.frame.select(*quoted([ROW_ID, *self.features]))
 
     def info(self) -> DataFrame:
-        return self.frame.select(ROW_ID, *self.information)
+        return self.frame.select(*quoted([ROW_ID, *self.information]))
 
     def variables(self) -> DataFrame:
         """Role registry: (role, position, column)."""
@@ -114,14 +110,17 @@ def new_columns(after: list[str], before: list[str]) -> list[str]:
     return [c for c in after if c not in known]
 
 
-def prepare(typed: DataFrame, information: list[str] = INFORMATION, lag: bool = False) -> Prepared:
-    """Features of a typed frame that carries its row id.
+def prepare(
+    typed: DataFrame, information: list[str] = INFORMATION, lag: bool = False, classes: list[str] | None = None
+) -> Prepared:
+    """Features of a typed frame that carries its row id; ``classes`` (all that occur, by default)
+    of the opening have a column each.
 
     Information and features stay in one frame: nothing is ever joined back by row.
     """
     original = [c for c in typed.columns if c != ROW_ID]
     numeric = [c for c in original if c not in information]
-    added = derived(classes_of(typed, "clasificacionapertura"), lag)
+    added = derived(classes_of(typed, "clasificacionapertura") if classes is None else classes, lag)
     frame = typed.withColumns(added)
     extracted = new_columns(frame.columns, typed.columns)
     return Prepared(frame, original, list(information), numeric + extracted, extracted)

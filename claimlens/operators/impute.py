@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.ml.classification import (
@@ -18,13 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import r4
-from claimlens.operators.anomaly import assemble, fit_scaling, standardize
+from claimlens.functions.text import named, quoted
+from claimlens.operators.anomaly import VECTOR, assemble, fit_scaling, standardize
+from claimlens.operators.profile import is_missing
+from claimlens.session import stage
 
 METHODS = ["regress", "clasif"]
 MODELS = ["lreg", "dtree", "forest", "svm"]
 SPLIT_STEPS = 1_000_000
-TREE_DEPTH = 10
+TREE_DEPTH = 30  # the library's maximum: trees grow until their leaves are pure
 TREES = 100
+LABEL, HELD_OUT = "__label", "__held_out"  # beside the data's columns
 
 
 @dataclass
@@ -41,37 +46,39 @@ def split_column(keys: list[str], share: float, seed: int) -> Column:
 
     Unlike a random draw, a recomputed task puts every row on the same side again.
     """
-    drawn = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(SPLIT_STEPS))
+    drawn = F.pmod(F.xxhash64(*quoted(keys), F.lit(seed)), F.lit(SPLIT_STEPS))
     return drawn < int(share * SPLIT_STEPS)
 
 
-def _regressor(model: str, seed: int):
-    common = {"featuresCol": "z", "labelCol": "label"}
+def _regressor(model: str, seed: int, depth: int, trees: int):
+    common = {"featuresCol": VECTOR, "labelCol": LABEL}
     if model == "lreg":
         return LinearRegression(**common)
     if model == "dtree":
-        return DecisionTreeRegressor(maxDepth=TREE_DEPTH, seed=seed, **common)
+        return DecisionTreeRegressor(maxDepth=depth, seed=seed, **common)
     if model == "forest":
-        return RandomForestRegressor(maxDepth=TREE_DEPTH, numTrees=TREES, seed=seed, **common)
+        return RandomForestRegressor(
+            maxDepth=depth, numTrees=trees, featureSubsetStrategy="all", seed=seed, **common
+        )
     raise ValueError("no distributed kernel regression: choose lreg, dtree or forest")
 
 
-def _classifier(model: str, seed: int, rows: int):
+def _classifier(model: str, seed: int, rows: int, depth: int, trees: int):
     # Penalty per row: the usual unit-strength L2 term over the summed loss.
-    common = {"featuresCol": "z", "labelCol": "label"}
+    common = {"featuresCol": VECTOR, "labelCol": LABEL}
     if model == "lreg":
         return LogisticRegression(regParam=1.0 / rows, standardization=False, **common)
     if model == "dtree":
-        return DecisionTreeClassifier(maxDepth=TREE_DEPTH, seed=seed, **common)
+        return DecisionTreeClassifier(maxDepth=depth, seed=seed, **common)
     if model == "forest":
-        return RandomForestClassifier(maxDepth=TREE_DEPTH, numTrees=TREES, seed=seed, **common)
+        return RandomForestClassifier(maxDepth=depth, numTrees=trees, seed=seed, **common)
     return LinearSVC(regParam=1.0 / rows, standardization=False, **common)
 
 
-def rmse(predicted: DataFrame, normalized: bool = False) -> float:
+def rmse(predicted: DataFrame, normalized: bool = False, label: str = "label") -> float:
     """Root mean squared error, optionally over the absolute mean of the actual values."""
-    error = F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))
-    row = predicted.agg(error.alias("rmse"), F.abs(F.avg("label")).alias("level")).first()
+    error = F.sqrt(F.avg(F.pow(F.col(label) - F.col("prediction"), 2)))
+    row = predicted.agg(error.alias("rmse"), F.abs(F.avg(label)).alias("level")).first()
     if not normalized:
         return row["rmse"]
     if row["level"] == 0:
@@ -79,9 +86,9 @@ def rmse(predicted: DataFrame, normalized: bool = False) -> float:
     return row["rmse"] / row["level"]
 
 
-def auc(predicted: DataFrame) -> float:
+def auc(predicted: DataFrame, label: str = "label") -> float:
     """Area under the ROC curve, 4 digits."""
-    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(predicted)
+    area = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(predicted)
     return round(area, 4)
 
 
@@ -95,12 +102,17 @@ def estimate_missing(
     seed: int = 16,
     validation: float = 0.1,
     keys: list[str] | None = None,
+    depth: int = TREE_DEPTH,
+    trees: int = TREES,
+    held_out: Column | None = None,
 ) -> Estimate:
     """Fit on rows where the target is known, validate on a held-out share, predict the rest.
 
     Rows with a missing predictor take no part. Predictors are standardised by the training
     rows. ``keys`` identify a row (default: target and predictors); they return with the
-    predictions and decide the split. Classification is binary, with the higher class as 1.
+    predictions and decide the split, unless ``held_out`` says which rows are held out.
+    Classification is binary, with the higher class as 1. ``depth`` and ``trees`` bound trees
+    and forests. The input is read once: what takes part is written to the shared folder.
     """
     if method not in METHODS:
         raise ValueError(f"choose a valid method: {METHODS}")
@@ -108,28 +120,37 @@ def estimate_missing(
         raise ValueError(f"choose a valid model: {MODELS}")
     predictors = [predictors] if isinstance(predictors, str) else list(predictors)
     keys = keys or [target, *predictors]
-    rows = df.dropna(subset=predictors).select(
-        F.struct(*keys).alias("key"),
-        split_column(keys, validation, seed).alias("held_out"),
-        F.col(target).cast("double").alias("label"),
-        *predictors,
+    own = [f"x{i}" for i in range(len(predictors))]
+    complete = ~reduce(Column.__or__, [is_missing(df.schema[p]) for p in predictors])
+    drawn = split_column(keys, validation, seed) if held_out is None else held_out
+    rows = stage(
+        df.where(complete).select(
+            F.struct(*quoted(keys)).alias("__key"),
+            F.coalesce(drawn, F.lit(False)).alias(HELD_OUT),
+            named(target).cast("double").alias(LABEL),
+            *[named(p).cast("double").alias(x) for p, x in zip(predictors, own, strict=True)],
+        ),
+        "estimate",
     )
-    known = rows.where("label is not null")
-    training = known.where("not held_out")
+    known = rows.where(F.col(LABEL).isNotNull())
+    training = known.where(~F.col(HELD_OUT))
+    predictors = own
     scaling = fit_scaling(training, predictors)
 
     def ready(part: DataFrame) -> DataFrame:
         return assemble(standardize(part, scaling), predictors)
 
-    algorithm = _regressor(model, seed) if method == "regress" else _classifier(model, seed, scaling.rows)
+    algorithm = (
+        _regressor(model, seed, depth, trees) if method == "regress" else _classifier(model, seed, scaling.rows, depth, trees)
+    )
     fitted = algorithm.fit(ready(training))
-    validated = fitted.transform(ready(known.where("held_out")))
-    predicted = fitted.transform(ready(rows.where("label is null")))
+    validated = fitted.transform(ready(known.where(HELD_OUT)))
+    predicted = fitted.transform(ready(rows.where(F.col(LABEL).isNull())))
     if method == "regress":
-        return Estimate(predicted.select("key.*", F.col("prediction").alias("pred")), rmse(validated, normalized), fitted)
+        return Estimate(predicted.select("__key.*", F.col("prediction").alias("pred")), rmse(validated, normalized, LABEL), fitted)
     proba = (
         vector_to_array("probability")[1] if "probability" in predicted.columns else F.lit(None).cast("double")
     )
     return Estimate(
-        predicted.select("key.*", F.col("prediction").alias("pred"), r4(proba).alias("proba")), auc(validated), fitted
+        predicted.select("__key.*", F.col("prediction").alias("pred"), r4(proba).alias("proba")), auc(validated, LABEL), fitted
     )

@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlens.functions.dates import now_to_second
 from claimlens.functions.numeric import r0, round_even
-from claimlens.functions.text import truncate
+from claimlens.functions.text import named, truncate
 
 # Names of the audit columns and of the configuration key.
 USER_COLUMN = "UsuarioModificacion"
@@ -39,9 +40,15 @@ def spark_type(sqltype: str) -> str:
     raise ValueError(f"unknown column type {sqltype!r}")
 
 
-def coerced(column: Column, sqltype: str) -> Column:
-    """A column as its declared type: numbers rounded half to even, text cut to length."""
+def coerced(column: Column, sqltype: str, held: T.DataType | None = None) -> Column:
+    """A column as its declared type: numbers rounded half to even, text cut to length.
+
+    ``held`` is its present type: decimals and integers are rounded as such, anything else as a double."""
     kind = spark_type(sqltype)
+    if isinstance(held, T.DecimalType) and (kind == "int" or kind.startswith("decimal")):
+        return F.bround(column, 0 if kind == "int" else _numbers(sqltype)[1]).cast(kind)
+    if isinstance(held, T.IntegralType) and (kind == "int" or kind.startswith("decimal")):
+        return column.cast(kind)
     if kind == "int":
         return r0(column).cast("int")
     if kind == "string":
@@ -78,5 +85,5 @@ def prepare_load(
 ) -> tuple[DataFrame, str]:
     """Stamped and typed frame with its database column types."""
     df = stamp_audit(df, config[USER_KEY], mode, now)
-    typed = {name: coerced(F.col(name), spec["sqltype"]) for name, spec in fields.items() if name in df.columns}
+    typed = {name: coerced(named(name), spec["sqltype"], df.schema[name].dataType) for name, spec in fields.items() if name in df.columns}
     return df.withColumns(typed), column_types(fields, df.columns)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SERIES = "__valores"  # no period has this name
 FLAGS = ["SIN_DATOS", "SOLO_CANCELADOS", "COMIENZA_CANCELADA", "MESES_NO_REGISTRADOS"]
 
 
@@ -19,15 +20,15 @@ def policy_matrix(events: DataFrame) -> DataFrame:
     return events.groupBy("poliza", "periodo").agg(best.alias("best")).select("poliza", "periodo", "best.valor")
 
 
-def periods_of(matrix: DataFrame, at_most: int = 5000) -> list[str]:
-    """The period axis: sorted distinct periods of the calendar.
+def axis_of(matrix: DataFrame) -> Column:
+    """The period axis: sorted distinct periods, as one array that plans refer to (a scalar subquery)."""
+    periods = matrix.select("periodo").distinct()
+    return periods.agg(F.sort_array(F.collect_list("periodo")).alias("eje")).scalar()
 
-    More than ``at_most`` of them are no calendar of months or days, and are refused.
-    """
-    found = matrix.select("periodo").distinct().limit(at_most + 1).collect()
-    if len(found) > at_most:
-        raise ValueError(f"more than {at_most} periods: not a calendar")
-    return sorted(row.periodo for row in found)
+
+def periods_of(matrix: DataFrame) -> list[str]:
+    """The period axis as a list, for callers who want a column per period."""
+    return sorted(row.periodo for row in matrix.select("periodo").distinct().collect())
 
 
 def running_activity(matrix: DataFrame) -> DataFrame:
@@ -48,53 +49,66 @@ def _flag(condition: Column, name: str) -> Column:
 
 
 def policy_flags(matrix: DataFrame, periods: list[str] | None = None, series: bool = False) -> DataFrame:
-    """Flags per policy, and with ``series`` one column per period, from one aggregate.
+    """Flags per policy, and with ``series`` the values by period as a map, from one aggregate.
 
     A policy without any activity is flagged as such and nothing else. Months without a
     record are the periods from the first activity on that are not active: their number
-    follows from the axis, so zeros are neither stored nor counted.
+    follows from the axis (``periods`` or that of the matrix), so zeros are neither stored
+    nor counted.
     """
-    axis = periods_of(matrix) if periods is None else periods
+    axis = axis_of(matrix) if periods is None else F.array(*[F.lit(p) for p in periods]).cast("array<string>")
     active = F.col("valor") != 0
-    ordinals = F.create_map(*[F.lit(x) for i, p in enumerate(axis) for x in (p, i)])
-    columns = [F.coalesce(F.max(F.when(F.col("periodo") == p, F.col("valor"))), F.lit(0)).alias(p) for p in axis]
+    values = F.map_from_entries(F.collect_list(F.when(active, F.struct("periodo", "valor"))))
     totals = matrix.groupBy("poliza").agg(
         F.count_if(active).alias("activos"),
         F.count_if(F.col("valor") == -1).alias("cancelados"),
         F.min(F.when(active, F.col("periodo"))).alias("inicio"),
         F.min_by("valor", F.when(active, F.col("periodo"))).alias("primero"),
-        *(columns if series else []),
+        *([values.alias(SERIES)] if series else []),
     )
     some = F.col("activos") > 0
-    silent = F.lit(len(axis)) - F.element_at(ordinals, F.col("inicio")) - F.col("activos")
+    silent = F.size(axis) - F.array_position(axis, F.col("inicio")) + 1 - F.col("activos")
     flags = totals.select(
         "poliza",
         _flag(~some, "SIN_DATOS"),
         _flag(some & (F.col("cancelados") == F.col("activos")), "SOLO_CANCELADOS"),
         _flag(some & (F.col("primero") == -1), "COMIENZA_CANCELADA"),
         _flag(some & (silent != 0), "MESES_NO_REGISTRADOS"),
-        *(axis if series else []),
-    )
-    return flags.select(
-        "poliza", F.greatest(*FLAGS).alias("CASO"), *FLAGS, *(axis if series else [])
+        *([SERIES] if series else []),
     )
+    return flags.select("poliza", F.greatest(*FLAGS).alias("CASO"), *FLAGS, *([SERIES] if series else []))
+
+
+def _value(period: Column | str) -> Column:
+    return F.coalesce(F.try_element_at(SERIES, F.lit(period) if isinstance(period, str) else period), F.lit(0))
 
 
 def anomalous_policies(matrix: DataFrame, periods: list[str] | None = None) -> DataFrame:
-    """Policies with any flag, with their series."""
-    return policy_flags(matrix, periods, series=True).where("CASO = 1").withColumnRenamed("poliza", "POLIZA")
+    """Policies with any flag, with a column per period. The columns are made for these policies only."""
+    axis = periods_of(matrix) if periods is None else periods
+    flagged = policy_flags(matrix, axis, series=True).where("CASO = 1")
+    return flagged.select(F.col("poliza").alias("POLIZA"), "CASO", *FLAGS, *[_value(p).alias(p) for p in axis])
+
+
+def anomalous_series(matrix: DataFrame) -> DataFrame:
+    """The same with a row per policy and period, however long the axis is."""
+    flagged = policy_flags(matrix, series=True).where("CASO = 1")
+    rows = flagged.select("*", F.explode(axis_of(matrix)).alias("periodo"))
+    return rows.select(F.col("poliza").alias("POLIZA"), "CASO", *FLAGS, "periodo", _value(F.col("periodo")).alias("valor"))
 
 
 def partial_series(matrix: DataFrame, periods: list[str] | None = None) -> DataFrame:
     """Every policy's series from its first activity to the end of the axis, zeros included."""
-    axis = periods_of(matrix) if periods is None else periods
+    if periods is None:  # the axis holds every first activity
+        axis = axis_of(matrix)
+        tail = F.slice(axis, F.array_position(axis, F.col("inicio")).cast("int"), F.size(axis))
+    else:
+        tail = F.filter(F.array(*[F.lit(p) for p in periods]), lambda p: p >= F.col("inicio"))
     known = F.map_from_entries(F.collect_list(F.struct("periodo", "valor")))
-    calendar = F.array(*[F.lit(p) for p in axis])
-    tail = F.filter(calendar, lambda p: p >= F.col("inicio"))
     return (
         matrix.where("valor != 0")
         .groupBy("poliza")
-        .agg(F.min("periodo").alias("inicio"), known.alias("valores"))
-        .select("poliza", "valores", F.explode(tail).alias("periodo"))
-        .select("poliza", "periodo", F.coalesce(F.try_element_at("valores", F.col("periodo")), F.lit(0)).alias("valor"))
+        .agg(F.min("periodo").alias("inicio"), known.alias(SERIES))
+        .select("poliza", SERIES, F.explode(tail).alias("periodo"))
+        .select("poliza", "periodo", _value(F.col("periodo")).alias("valor"))
     )

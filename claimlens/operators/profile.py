@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.functions.numeric import r2
+from claimlens.functions.text import named, quoted
 
 REAL = (T.DoubleType, T.FloatType)
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -14,13 +15,13 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 def is_missing(field: T.StructField) -> Column:
     """NULL, or NaN in a real column."""
-    c = F.col(field.name)
+    c = named(field.name)
     return c.isNull() | F.isnan(c) if isinstance(field.dataType, REAL) else c.isNull()
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Values with count and share of the non-missing rows, most frequent first."""
-    present = df.where(~is_missing(df.schema[column])).select(F.col(column).alias("Campo"))
+    present = df.where(~is_missing(df.schema[column])).select(named(column).alias("Campo"))
     total = present.agg(F.count(F.lit(1))).scalar()
     return (
         present.groupBy("Campo")
@@ -35,15 +36,15 @@ def mode(df: DataFrame, column: str) -> DataFrame:
 
     Counted by value first, so that no task ever holds all distinct values.
     """
-    counts = df.where(~is_missing(df.schema[column])).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.min(F.struct(-F.col("n"), F.col(column).alias("value"))).alias("best")).select(
+    counts = df.where(~is_missing(df.schema[column])).groupBy(named(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("best")).select(
         F.lit(column).alias("Campo"), F.col("best.value").alias("Moda")
     )
 
 
 def _cell(field: T.StructField) -> Column:
     """A value as text, beside the key it sorts by among values of its own column."""
-    c, kind = F.col(field.name), field.dataType
+    c, kind = named(field.name), field.dataType
     whole, real = F.lit(None).cast("bigint"), F.lit(None).cast("double")
     if isinstance(kind, WHOLE):
         whole = c.cast("bigint")
@@ -98,8 +99,10 @@ def duplicates(df: DataFrame) -> DataFrame:
     Rows; rows that occur once; rows that occur more than once; distinct rows; surplus
     copies; and rows in duplicate groups per surplus copy (-1 without duplicates).
     """
+    # The data's columns are out of sight when the counts get a name.
+    rows = df.select([c.alias(f"c{i}") for i, c in enumerate(quoted(df.columns))])
     n = F.col("n")
-    report = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
+    report = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("totales"),
         F.count_if(n == 1).alias("no_duplicados_sin_keep"),
         F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("duplicados_sin_keep"),
@@ -113,7 +116,7 @@ def duplicates(df: DataFrame) -> DataFrame:
 def fill_missing(df: DataFrame, values: dict) -> DataFrame:
     """Replace missing values, NaN included, by one value per column."""
     fixed = {
-        name: F.when(is_missing(df.schema[name]), F.lit(value).cast(df.schema[name].dataType)).otherwise(F.col(name))
+        name: F.when(is_missing(df.schema[name]), F.lit(value).cast(df.schema[name].dataType)).otherwise(named(name))
         for name, value in values.items()
     }
     return df.withColumns(fixed)

@@ -131,9 +131,39 @@ def test_undeclared_column_and_missing_integer(spark):
         strict.collect()
 
 
-def test_too_many_classes_is_an_error(spark):
-    with pytest.raises(ValueError, match="more than 5 classes"):
-        features.classes_of(spark.range(10).selectExpr("cast(id as string) as c"), "c", at_most=5)
+def test_any_number_of_classes(spark):
+    """More than a thousand classes, dots and backticks in their names."""
+    df = spark.range(1200).selectExpr("id", "concat('Hosp. `dia` ', id) as c")
+    classes = features.classes_of(df, "c")
+    assert len(classes) == 1200
+    few = [classes[0], classes[7]]
+    hot = df.select("id", *[c.alias(n) for n, c in features.one_hot("c", few).items()])
+    names = [f"clasif_{c}" for c in few]
+    assert sum(sum(r[n] for n in names) for r in hot.collect()) == 2
+    scaling = anomaly.fit_scaling(hot, names)
+    assert scaling.mean == pytest.approx([1 / 1200] * 2)
+    vectors = anomaly.assemble(anomaly.standardize(hot, scaling), names)
+    assert vectors.columns == ["id", *names, anomaly.VECTOR] and vectors.count() == 1200
+
+
+def test_columns_named_like_our_own(spark):
+    df = spark.range(300).selectExpr("id", "id % 7 as label", "id % 5 as z", "cast(id as double) as n", "id % 3 as key")
+    df = df.selectExpr("*", "if(id % 10 = 0, null, 2 * label + z) as target")
+    found = impute.estimate_missing(df, "target", ["label", "z"], keys=["id", "key"])
+    assert found.metric == pytest.approx(0, abs=1e-6)
+    expected = {r.id: 2 * r.label + r.z for r in df.collect()}
+    assert all(r.pred == pytest.approx(expected[r.id]) for r in found.predictions.collect())
+    scored, _ = anomaly.score_rows(df.select("id", "label", "z", "n"), ["label", "z", "n"], 0.5)
+    assert scored.columns == ["anomalyscore", "id", "label", "z", "n"]
+
+
+def test_stated_hold_out_and_class_forest(spark):
+    df = spark.range(400).selectExpr("id", "id % 20 as x", "if(id % 40 = 3, null, cast(id % 20 >= 10 as int)) as y")
+    found = impute.estimate_missing(
+        df, "y", "x", model="forest", method="clasif", keys=["id"], trees=5, depth=4, held_out=F.col("id") % 10 == 0
+    )
+    assert found.metric == 1.0
+    assert {(r.pred, r.proba) for r in found.predictions.collect()} == {(0.0, 0.0)}
 
 
 def test_sample_is_stable(spark):

@@ -67,3 +67,15 @@ def test_one_policy_with_most_events_stays_one_row_per_period(spark):
     matrix = policies.policy_matrix(events)
     assert matrix.where("poliza = 'hot'").count() == 4
     assert policies.policy_flags(matrix).where("poliza = 'hot'").first().CASO == 0
+
+
+def test_any_number_of_periods(spark):
+    """Six thousand daily periods: flags and long series without a limit."""
+    events = spark.range(6000).selectExpr(
+        "if(id % 2 = 0, 'even', 'odd') as poliza", "date_format(date_add(date'2000-01-01', cast(id as int)), 'yyyyMMdd') as periodo", "1 as valor"
+    )
+    flags = {r.poliza: r for r in policies.policy_flags(events).collect()}
+    assert flags["even"].MESES_NO_REGISTRADOS == flags["odd"].MESES_NO_REGISTRADOS == 1
+    series = policies.anomalous_series(events)
+    assert series.count() == 12_000 and series.where("valor = 1").count() == 6000
+    assert policies.partial_series(events).count() == 6000 + 5999
