@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from catalog.base import DIAGNOSES_SINCE, SINCE, UNTIL, doubles, plain, warehouse_query
 from claimlens.plans import claims, detail, insured
+from claimlens.session import stage
 
 
 CLASS_IDS = ["IdGrupoPrestacion", "IdSubgrupoPrestacion", "IdAperturaPrestacion"]
@@ -82,6 +83,7 @@ def q6(wh):
 
 @warehouse_query("q7_person_diagnoses", "select * from diagnosticos")
 def q7(wh):
+    wh = claims.extract_of(wh)
     return insured.person_diagnoses(wh, history(wh), since=DIAGNOSES_SINCE)
 
 
@@ -91,6 +93,7 @@ def q7(wh):
        from historia h left join diagnosticos_titular d on d.RutTitular = h.RutTitular""",
 )
 def q7_joined(wh):
+    wh = claims.extract_of(wh)
     rows = history(wh)
     per_holder = insured.holder_diagnoses(insured.person_diagnoses(wh, rows, since=DIAGNOSES_SINCE))
     return doubles(plain(insured.with_diagnoses(rows, per_holder)), *CLASS_IDS)
@@ -98,7 +101,9 @@ def q7_joined(wh):
 
 @warehouse_query("q8_provider_profiles", "select * from perfiles")
 def q8(wh):
-    return plain(insured.provider_profiles(wh, insured.provider_windows(history(wh))))
+    wh = claims.extract_of(wh)
+    windows = stage(insured.provider_windows(history(wh)), "provider-windows")
+    return plain(insured.provider_profiles(wh, windows))
 
 
 @warehouse_query(

@@ -356,6 +356,7 @@ def _by_code(kind: str) -> str:
 
 @warehouse_query("jn7_cast_keys_left", _by_code("left"))
 def jn7_left(wh):
+    wh = claims.extract_of(wh)
     return claims.details(wh, False).join(claims.classification_by_code(wh), "CodigoBeneficio", "left").select(
         "idliquidaciondetalle", "ClasificacionGrupo", "ClasificacionApertura"
     )
@@ -363,6 +364,7 @@ def jn7_left(wh):
 
 @warehouse_query("jn7_cast_keys_inner", _by_code("inner"))
 def jn7_inner(wh):
+    wh = claims.extract_of(wh)
     return claims.details(wh, False).join(claims.classification_by_code(wh), "CodigoBeneficio").select(
         "idliquidaciondetalle", "ClasificacionGrupo", "ClasificacionApertura"
     )
@@ -412,7 +414,7 @@ def provider_claims(wh):
 )
 def jn9(wh):
     rows = provider_claims(wh)
-    windows = insured.provider_windows(rows)
+    windows = stage(insured.provider_windows(rows), "provider-windows")
     return rows.join(windows, "RutPrestador").where(
         F.col("FechaRecepcionLiquidacion").between(F.col("FechaDesde"), F.col("FechaHasta"))
     ).select("idsiniestro", "RutPrestador", "FechaRecepcionLiquidacion")
@@ -469,7 +471,7 @@ def jn13(wh):
     profile = rows.where("RutPrestador != 'Sin rut prestador'").groupBy("RutPrestador").agg(
         F.countDistinct("idsiniestro").alias("solicitudes")
     )
-    return rows.join(profile, "RutPrestador")
+    return rows.join(stage(profile, "profile"), "RutPrestador")
 
 
 @warehouse_query(

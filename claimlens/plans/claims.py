@@ -7,14 +7,46 @@ shuffled side before it turns a join into a broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions import rules
 from claimlens.functions.dates import day_literal
 from claimlens.functions.text import code_to_int
+from claimlens.session import stage
 from claimlens.sources.warehouse import Warehouse
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+class Extract:
+    """A warehouse with the dimensions that one extract joins again and again, each written once.
+
+    The planner knows a written table's size, so joins with it shuffle the facts only if it is large.
+    """
+
+    def __init__(self, wh: Warehouse, keep: Keep = stage):
+        self._wh, self._keep = wh, keep
+        self._kept: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._wh[name]
+
+    def once(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if label not in self._kept:
+            self._kept[label] = self._keep(build(), label)
+        return self._kept[label]
+
+
+def extract_of(wh: Warehouse, keep: Keep = stage) -> Extract:
+    return wh if isinstance(wh, Extract) else Extract(wh, keep)
+
+
+def _once(wh: Warehouse, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return wh.once(label, build) if isinstance(wh, Extract) else build()
+
 
 def in_force(wh: Warehouse, name: str) -> DataFrame:
     """Rows of a dimension that are valid, without the validity column."""
@@ -52,7 +84,7 @@ def classification(wh: Warehouse, subgroup: str | None = None) -> DataFrame:
 
 def classification_by_code(wh: Warehouse, subgroup: str | None = None) -> DataFrame:
     """Classification keyed by the integer benefit code; blank and odd codes handled once, here."""
-    return classification(wh, subgroup).select(
+    return _once(wh, f"classification-{subgroup}".replace(" ", "-"), lambda: classification(wh, subgroup)).select(
         code_to_int("CodigoPrestacion").alias("CodigoBeneficio"),
         "IdGrupoPrestacion",
         "ClasificacionGrupo",
@@ -96,9 +128,13 @@ def insurers(wh: Warehouse) -> DataFrame:
 
 def providers(wh: Warehouse) -> DataFrame:
     """Branch with its provider's id and name."""
-    return wh["prestadorsucursal"].join(wh["prestador"], "idprestador").select(
-        "idprestadorsucursal", F.col("rutprestador").alias("RutPrestador"), "NombrePrestador"
-    )
+
+    def build() -> DataFrame:
+        return wh["prestadorsucursal"].join(wh["prestador"], "idprestador").select(
+            "idprestadorsucursal", F.col("rutprestador").alias("RutPrestador"), "NombrePrestador"
+        )
+
+    return _once(wh, "providers", build)
 
 
 def benefit_groups(wh: Warehouse) -> DataFrame:
@@ -157,6 +193,10 @@ def fan_out(wh: Warehouse, claims: DataFrame, approved_only: bool, branches: Dat
     return documents.join(details(wh, approved_only), "idSiniestroDocumento")
 
 
-def repeat_rows(rows: DataFrame, times: Column) -> DataFrame:
-    """Every row as many times as its weight says: the plain join's bag of rows."""
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+def repeat_rows(rows: DataFrame, *times: Column) -> DataFrame:
+    """Every row as many times as its weights say: the plain join's bag of rows.
+
+    One weight after the other, so that no array is as long as their product."""
+    for n in times:
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint")))).drop("_copy")
+    return rows

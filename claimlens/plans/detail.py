@@ -42,6 +42,7 @@ WEIGHT = "Liquidaciones"
 
 def weighted_rows(wh: Warehouse, since: str, until: str, subgroup: str | None = rules.MENTAL_HEALTH) -> DataFrame:
     """Approved, classified details of claims settled in the period, with the claim's settlement count."""
+    wh = claims.extract_of(wh)
     in_period = claims.enrich_claims(wh, claims.claims_in_period(wh, since, until, plan_rule=False))
     return (
         claims.fan_out(wh, in_period, True, claims.providers(wh))

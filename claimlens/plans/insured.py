@@ -113,9 +113,8 @@ def holder_history(wh: Warehouse, windows: DataFrame) -> DataFrame:
         .join(claims.classification_by_code(wh), "CodigoBeneficio", "left")
         .join(claims.rejection_counts(wh), "idliquidaciondetalle", "left")
     )
-    times = F.col("Liquidaciones") * F.coalesce("Rechazos", F.lit(1))
     return (
-        claims.repeat_rows(details.withColumn("_times", times), F.col("_times")).select(
+        claims.repeat_rows(details, F.col("Liquidaciones"), F.coalesce("Rechazos", F.lit(1))).select(
             rules.role_label("RutTitular", "RutSiniestrado").alias("RolPersona"),
             "RutTitular",
             rules.female_flag("titular_sexo").alias("TitularFemenino"),
@@ -150,13 +149,18 @@ def holder_history(wh: Warehouse, windows: DataFrame) -> DataFrame:
 
 
 def person_diagnoses(
-    wh: Warehouse, people: DataFrame, since: str = DIAGNOSES_SINCE, until: Column | None = None
+    wh: Warehouse,
+    people: DataFrame,
+    since: str = DIAGNOSES_SINCE,
+    until: Column | None = None,
+    keep: claims.Keep = stage,
 ) -> DataFrame:
     """Distinct mental-health diagnoses per holder and person.
 
     The claims of those people are picked first; only theirs meet documents and details.
-    Keys of the semi-joins are made distinct before they move, and so are the diagnoses: a
-    person with a third of the history is a handful of rows per task by then.
+    Keys of the semi-joins are made distinct before they move, and written, so that the claims
+    of one person can be split; so are the diagnoses made distinct: a person with a third of the
+    history is a handful of rows per task by then.
     """
     known = wh["diagnostico"].where(rules.diagnosis_in_scope("idDiagnostico", "codigo")).select(
         F.col("idDiagnostico").alias("idcausaprimaria"), F.col("Glosa").alias("Diagnostico")
@@ -167,7 +171,7 @@ def person_diagnoses(
         .where(F.col("FechaRecepcionLiquidacionVC").between(day_literal(since), last))
         .where("idcausaprimaria != 0")
         .join(known, "idcausaprimaria")
-        .join(people.select("RutSiniestrado").distinct(), "RutSiniestrado", "left_semi")
+        .join(keep(people.select("RutSiniestrado").distinct(), "people"), "RutSiniestrado", "left_semi")
         .join(wh["denuncio"], "iddenuncio", "left_semi")
     )
     return (
@@ -190,14 +194,17 @@ def holder_diagnoses(per_person: DataFrame) -> DataFrame:
     return per_person.groupBy("RutTitular").agg(F.sum("Diagnosticos").alias("Diagnosticos"))
 
 
-def with_diagnoses(history: DataFrame, per_holder: DataFrame) -> DataFrame:
-    """History with the holder's diagnosis count, 0 where there is none."""
-    return history.join(per_holder, "RutTitular", "left").withColumn(
+def with_diagnoses(history: DataFrame, per_holder: DataFrame, keep: claims.Keep = stage) -> DataFrame:
+    """History with the holder's diagnosis count, 0 where there is none.
+
+    An aggregate on the join's own key is written first: read from a table it has a shuffle
+    of its own, and the rows of a holder with very many can be split."""
+    return history.join(keep(per_holder, "holder-diagnoses"), "RutTitular", "left").withColumn(
         "Diagnosticos", F.coalesce("Diagnosticos", F.lit(0))
     )
 
 
-def approved_with_rejections(history: DataFrame) -> DataFrame:
+def approved_with_rejections(history: DataFrame, keep: claims.Keep = stage) -> DataFrame:
     """Approved rows with the holder's number of rejected requests (switched off in the extract)."""
     rejected = (
         history.where("Estado = 'RECHAZADA'")
@@ -206,7 +213,7 @@ def approved_with_rejections(history: DataFrame) -> DataFrame:
     )
     return (
         history.where("Estado = 'APROBADA'")
-        .join(rejected, "RutTitular", "left")
+        .join(keep(rejected, "rejected-requests"), "RutTitular", "left")
         .withColumn("SolicitudesRechazadas", F.coalesce("SolicitudesRechazadas", F.lit(0)))
     )
 
@@ -251,10 +258,12 @@ def provider_profiles(wh: Warehouse, windows: DataFrame) -> DataFrame:
     )
 
 
-def export_rows(history: DataFrame, profiles: DataFrame) -> DataFrame:
-    """History of providers that have a profile, in the export layout."""
+def export_rows(history: DataFrame, profiles: DataFrame, keep: claims.Keep = stage) -> DataFrame:
+    """History of providers that have a profile, in the export layout.
+
+    The label of providers without an id is one key: written profiles let its rows be split."""
     return (
-        history.join(profiles, "RutPrestador")
+        history.join(keep(profiles, "provider-profiles"), "RutPrestador")
         .withColumnRenamed("FechaRecepcionLiquidacion", "FechaLiquidacion")
         .select(*EXPORT)
     )
@@ -267,6 +276,7 @@ def insured_history(
     keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """Cohort, windows and history; windows and history are kept, as both are read again."""
+    wh = claims.extract_of(wh, keep)
     windows = keep(holder_windows(cohort_rows(wh, since, until)), "holder-windows")
     return keep(holder_history(wh, windows), "holder-history")
 
@@ -275,16 +285,14 @@ def insured_extract(
     wh: Warehouse,
     since: str,
     until: str,
-    diagnoses_until: Column | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """The full 36-column export.
 
-    The diagnosis count is part of the intermediate table only. The export does not carry
-    it, so Catalyst drops its column; the left join on a unique holder key changes no row.
+    The diagnosis count is part of an intermediate table only (``with_diagnoses``): the export
+    does not carry it, and the left join on a unique holder key changes no row, so it is left out.
     """
+    wh = claims.extract_of(wh, keep)
     history = insured_history(wh, since, until, keep)
-    per_holder = holder_diagnoses(person_diagnoses(wh, history, until=diagnoses_until))
-    enriched = with_diagnoses(history, per_holder)
     windows = keep(provider_windows(history), "provider-windows")
-    return export_rows(enriched, provider_profiles(wh, windows))
+    return export_rows(history, provider_profiles(wh, windows), keep)

@@ -86,3 +86,48 @@ def test_profile_of_a_hot_provider(spark, no_broadcast):
     assert (row.PrestadorSolicitudes, row.PrestadorPrestaciones, row.PrestadorFonasa) == (1000, 1, 1.0)
     assert row.PrestadorValorPrestacion == DOCUMENTS / 2
     assert "partial_sum" in plan
+
+
+def hot_history(spark):
+    """A third of the rows belong to one holder and to the providers without an id."""
+    hot = F.col("id") % 3 == 0
+    return spark.range(0, DOCUMENTS, 1, 8).select(
+        F.when(hot, "hot").otherwise(F.col("id").cast("string")).alias("RutTitular"),
+        F.when(hot, "Sin rut prestador").otherwise((F.col("id") % 900).cast("string")).alias("RutPrestador"),
+        F.when(F.col("id") % 2 == 0, "APROBADA").otherwise("RECHAZADA").alias("Estado"),
+        F.col("id").cast("string").alias("NumeroSolicitud"),
+        *[F.col("id").alias(c) for c in insured.EXPORT if c not in (*insured.PROFILE, "RutTitular", "RutPrestador", "NumeroSolicitud", "FechaLiquidacion")],
+        F.col("id").alias("FechaRecepcionLiquidacion"),
+    )
+
+
+def test_export_of_a_hot_provider_is_split(spark, no_broadcast):
+    history = hot_history(spark)
+    profiles = history.groupBy("RutPrestador").agg(*[F.count(F.lit(1)).alias(c) for c in insured.PROFILE])
+    result, plan = final_plan(insured.export_rows(history, profiles))
+    assert len(result) == DOCUMENTS and "skew=true" in plan
+
+
+def test_diagnoses_of_a_hot_holder_are_split(spark, no_broadcast):
+    history = hot_history(spark)
+    counts = history.where("Cantidad % 2 = 0").groupBy("RutTitular").agg(F.count(F.lit(1)).alias("Diagnosticos"))
+    result, plan = final_plan(insured.with_diagnoses(history, counts))
+    assert len(result) == DOCUMENTS and "skew=true" in plan
+    assert sum(r.Diagnosticos > 0 for r in result) > DOCUMENTS // 2
+
+
+def test_rejections_of_a_hot_holder_are_split(spark, no_broadcast):
+    result, plan = final_plan(insured.approved_with_rejections(hot_history(spark)))
+    assert len(result) == DOCUMENTS // 2 and "skew=true" in plan
+    assert {r.SolicitudesRechazadas for r in result if r.RutTitular == "hot"} == {DOCUMENTS // 6}
+
+
+def test_classification_does_not_shuffle_the_details(spark):
+    """Written once, its size is known: details meet it where they are, and blank codes are no hot key."""
+    tables = warehouse(spark)
+    code = (F.col("idliquidaciondetalle") % 1000).cast("string")
+    tables["liquidaciondetalle"] = tables["liquidaciondetalle"].withColumn("CodigoBeneficio", code)
+    tables = claims.extract_of(tables)
+    joined = claims.details(tables, False).join(claims.classification_by_code(tables), "CodigoBeneficio")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
