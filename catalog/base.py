@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlens.functions import rules
 from claimlens.session import tune
 from claimlens.sources.standin import SELECTS, StandIn
 
@@ -90,8 +91,9 @@ def day_sql(yyyymmdd: str) -> str:
     return f"timestamp '{yyyymmdd[:4]}-{yyyymmdd[4:6]}-{yyyymmdd[6:]}'"
 
 
-IN_SCOPE = """cat.IdCategorizacionCanal not in (3, 5, 9, 11, 14, 27, 29, 30, 31, 32, 44, 45)
-      and cat.IdCanal not in (2, 5, 6, 7, 9) and cat.IdDenuncioTipo not in (2, 4, 5)"""
+IN_SCOPE = f"""cat.IdCategorizacionCanal not in {sql_list(rules.EXCLUDED_CATEGORIES)}
+      and cat.IdCanal not in {sql_list(rules.EXCLUDED_CHANNELS)}
+      and cat.IdDenuncioTipo not in {sql_list(rules.EXCLUDED_REQUEST_TYPES)}"""
 
 PARTS: dict[str, str] = {name: _twin_table(text) for name, text in SELECTS.items()}
 

@@ -30,8 +30,8 @@ def write_text(spark, text: str, path: str) -> str:
 @query("src1_catalog_table", "select count(*) as siniestros, count(distinct iddenuncio) as denuncios from siniestro")
 def src1_catalog(spark, folder):
     """Tables reached by name through the catalog."""
-    StandIn(spark, folder)["siniestro"].createOrReplaceTempView("bos_siniestro")
-    return spark.table("bos_siniestro").agg(
+    StandIn(spark, folder)["siniestro"].createOrReplaceTempView("reclamos")
+    return spark.table("reclamos").agg(
         F.count(F.lit(1)).alias("siniestros"), F.countDistinct("iddenuncio").alias("denuncios")
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import SINCE, UNTIL, query, warehouse_query
@@ -11,6 +14,7 @@ from claimlens.operators.rowid import add_row_id, number_of_id, number_rows
 from claimlens.plans.config import DETAIL_TYPES
 from claimlens.plans.detail import detail_extract
 from claimlens.plans.jobs import DETAIL_ORDER, prepare_rows
+from claimlens.session import stage
 from claimlens.sources.standin import StandIn
 
 # --- row ids ----------------------------------------------------------------------------
@@ -424,6 +428,25 @@ def ml8_linear(spark, folder):
     return estimate.predictions.withColumn("pred", F.round("pred", 4))
 
 
+@query(
+    "ml8_regression_with_stated_split",
+    f"""with {_LINES}, known as (select cantidad as x, precio as y, l_orderkey % 10 = 0 as apartada from lineas where l_linenumber <> 7),
+             f as (select regr_slope(y, x) as s, regr_intercept(y, x) as i from known where not apartada),
+             e as (select round(sqrt(avg((y - s * x - i) * (y - s * x - i))), 2) as rmse from known, f where apartada)
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(s * cantidad + i, 2) as pred, rmse
+        from lineas, f, e where l_linenumber = 7""",
+)
+def ml8_stated(spark, folder):
+    """One predictor and a stated hold-out: fit, metric and predictions have a closed form."""
+    rows = line_frame(spark, folder).withColumn("precio", F.when(F.col("l_linenumber") != 7, F.col("precio")))
+    estimate = impute.estimate_missing(
+        rows, "precio", "cantidad", keys=_IMPUTE_KEYS, held_out=F.col("l_orderkey") % 10 == 0
+    )
+    return estimate.predictions.select(
+        *_IMPUTE_KEYS, F.round("pred", 2).alias("pred"), F.lit(round(estimate.metric, 2)).alias("rmse")
+    )
+
+
 @query("ml8_estimate_by_tree")
 def ml8_tree(spark, folder):
     return _estimate(spark, folder, model="dtree", **_NET).predictions
@@ -443,6 +466,18 @@ def ml9_split(spark, folder):
     return line_frame(spark, folder).groupBy(held_out.alias("validacion")).agg(F.count(F.lit(1)).alias("filas"))
 
 
+@query(
+    "ml9_split_is_whole_and_near_its_share",
+    "select count(*) as filas, 1 as cerca from lineitem",
+)
+def ml9_share(spark, folder):
+    """Every row is on one side, and the side held out has its share to within two hundredths."""
+    held_out = impute.split_column(_IMPUTE_KEYS, 0.1, 16)
+    share = F.count_if(held_out) / F.count(F.lit(1))
+    sides = F.count_if(held_out) + F.count_if(~held_out)
+    return line_frame(spark, folder).agg(sides.alias("filas"), (F.abs(share - 0.1) < 0.02).cast("int").alias("cerca"))
+
+
 @source_query(
     "ml10_rmse",
     "lineitem",
@@ -474,3 +509,48 @@ def ml11(lineitem):
 @query("ml12_estimate_class_and_probability")
 def ml12(spark, folder):
     return _estimate(spark, folder, **_DEAR).predictions
+
+
+@query(
+    "ml12_separable_class",
+    """select l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_quantity > 25)::int::double as pred,
+              (l_quantity > 25)::int::double as proba, 1.0::double as auc from lineitem where l_linenumber = 7""",
+)
+def ml12_separable(spark, folder):
+    """A class that one cut separates: every prediction, its probability and the area are known."""
+    rows = line_frame(spark, folder).withColumn(
+        "caro", F.when(F.col("l_linenumber") != 7, (F.col("cantidad") > 25).cast("int"))
+    )
+    estimate = impute.estimate_missing(
+        rows, "caro", "cantidad", model="dtree", method="clasif", keys=_IMPUTE_KEYS, held_out=F.col("l_orderkey") % 10 == 0
+    )
+    return estimate.predictions.withColumn("auc", F.lit(estimate.metric))
+
+
+_FRAMES = ["z", "reducida", "reconstruida", "puntaje"]
+
+
+@query(
+    "smp1_sampled_rows_in_four_frames",
+    " union all ".join(
+        f"select '{f}' as marco, least(3, count(*)) as filas, least(3, count(*)) as claves from lineitem" for f in _FRAMES
+    ),
+)
+def smp1_four(spark, folder):
+    """The same sampled rows in the scaled, the reduced, the rebuilt and the scored frame."""
+    z, components, (k, _, _) = fitted_lines(spark, folder)
+    key = F.concat_ws("-", *_LINE_ORDER).alias("clave")
+    frames = {
+        "z": z,
+        "reducida": anomaly.whitened(z, components, k),
+        "reconstruida": anomaly.reconstruct(z, components, k),
+        "puntaje": anomaly.anomaly_scores(z, components, k),
+    }
+    keys = stage(anomaly.sample_ids(z.select(key), "clave"), "sample")
+    found = [
+        anomaly.rows_of(frames[name].select(key), keys, "clave").agg(
+            F.lit(name).alias("marco"), F.count(F.lit(1)).alias("filas"), F.countDistinct("clave").alias("claves")
+        )
+        for name in _FRAMES
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SERIES = "__valores"  # no period has this name
+# Names of the flags.
 FLAGS = ["SIN_DATOS", "SOLO_CANCELADOS", "COMIENZA_CANCELADA", "MESES_NO_REGISTRADOS"]
 
 

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-# The type contract between the extract and the preparation.
-DETAIL_COLUMNS = {
-    "str": [
-        "ruttitular", "rutbeneficiario", "numerosolicitud", "clasificaciongrupo", "clasificacionsubgrupo",
-        "clasificacionapertura", "prevision", "rutprestador", "nombreprestador",
-    ],
-    "int": [
-        "idgrupoprestacion", "idsubgrupoprestacion", "idaperturaprestacion", "cantidad", "valorprestacionclp",
-        "costounitarioclp", "valorreclamadoclp", "valorpagoclp",
-    ],
-    "float": ["valorprestacionuf", "valorpagouf"],
-    "datetime": ["fechaprestacion", "fecharecepcionliquidacion"],
+# The type contract between the extract and the preparation, in the extract's order.
+DETAIL_TYPES = {
+    column: {"dtype": kind}
+    for column, kind in {
+        "ruttitular": "str",
+        "rutbeneficiario": "str",
+        "numerosolicitud": "str",
+        "idgrupoprestacion": "int",
+        "clasificaciongrupo": "str",
+        "idsubgrupoprestacion": "int",
+        "clasificacionsubgrupo": "str",
+        "idaperturaprestacion": "int",
+        "clasificacionapertura": "str",
+        "cantidad": "int",
+        "valorprestacionclp": "int",
+        "valorprestacionuf": "float",
+        "costounitarioclp": "int",
+        "valorreclamadoclp": "int",
+        "valorpagouf": "float",
+        "valorpagoclp": "int",
+        "fechaprestacion": "datetime",
+        "fecharecepcionliquidacion": "datetime",
+        "prevision": "str",
+        "rutprestador": "str",
+        "nombreprestador": "str",
+    }.items()
 }
-
-DETAIL_TYPES = {column: {"dtype": kind} for kind, columns in DETAIL_COLUMNS.items() for column in columns}

@@ -11,6 +11,7 @@ from claimlens.functions.text import pad_id, pad_provider_id
 from claimlens.plans import claims
 from claimlens.sources.warehouse import Warehouse
 
+# Column names of the criteria, the request grain, its measures and the export.
 CRITERIA_KEYS = ["IdGrupoPrestacion", "IdSubgrupoPrestacion", "IdAperturaPrestacion"]
 
 GRAIN = [

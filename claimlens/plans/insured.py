@@ -14,6 +14,7 @@ from claimlens.plans import claims
 from claimlens.session import stage
 from claimlens.sources.warehouse import Warehouse
 
+# First day of diagnoses, and the column names of the profile and the export.
 DIAGNOSES_SINCE = "20190101"
 
 PROFILE = [

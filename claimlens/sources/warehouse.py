@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Warehouse = Mapping[str, DataFrame]
 
-# Columns the analytics read, per table.
+# The columns the analytics read, per table.
 SCHEMAS = {
     "detalle_prestacion": "CodigoPrestacion string, GlosaPrestacionHomologada string, IdSubgrupoApertura int, IdGrupoSubgrupo int, IdPatologiaAsociada int, Vigencia int",
     "subgrupo_apertura_prestacion": "IdSubgrupoApertura int, IdSubgrupoPrestacion int, IdAperturaPrestacion int, Vigencia int",

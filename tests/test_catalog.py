@@ -70,3 +70,29 @@ def test_period_reaches_the_scan(spark):
 def test_unread_diagnoses_are_not_computed(spark):
     plan = catalog.QUERIES["q9_insured_extract"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "DIAGNOSTICO" not in plan
+
+
+def test_scores_of_a_bundle_are_those_of_the_extract(spark):
+    """Fitting on the features alone and joining afterwards gives the scores of the joined frame."""
+    bundle, extract = (
+        {r.uniqueid: r.anomalyscore for r in catalog.QUERIES[name](spark, SMALL).select("uniqueid", "anomalyscore").collect()}
+        for name in ("ml6_scored_bundle", "ml6_scored_extract")
+    )
+    assert bundle.keys() == extract.keys() and len(bundle) > 0
+    assert all(bundle[k] == pytest.approx(extract[k], abs=1e-9) for k in bundle)
+
+
+@pytest.mark.parametrize("name", ["q9_insured_extract", "out3_detail_extract", "ag7_several_count_distincts", "ps1_policy_flags"])
+def test_generated_code_gives_the_same_rows(spark, name):
+    """The rest of the suite interprets plans; these run as production does."""
+    interpreted = catalog.QUERIES[name](spark, SMALL)
+    expected = bag(interpreted.columns, interpreted.collect())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")}
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    try:
+        compiled = catalog.QUERIES[name](spark, SMALL)
+        assert bag(compiled.columns, compiled.collect()) == expected
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
