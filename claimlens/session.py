@@ -52,9 +52,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out and not removed yet.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/claimlens/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/claimlens/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete what this process has staged so far; frames that read it must be done with. Gives the number of paths."""
+    removed = 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Warehouse = Mapping[str, DataFrame]
 
@@ -46,6 +48,13 @@ def from_catalog(spark: SparkSession, database: str, names: Iterable[str] = SCHE
     return {name: spark.table(f"{database}.{name}") for name in names}
 
 
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """The columns that the analytics read, in their declared types; date-times lose a time zone."""
+    if name not in SCHEMAS:
+        return df
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(SCHEMAS[name])])
+
+
 def from_jdbc(
     spark: SparkSession,
     url: str,
@@ -61,13 +70,13 @@ def from_jdbc(
     """
     out = {}
     for name, remote in tables.items():
-        reader = spark.read.format("jdbc").options(url=url, dbtable=remote, **(properties or {}))
+        reader = spark.read.format("jdbc").options(url=url, dbtable=remote, preferTimestampNTZ=True, **(properties or {}))
         if split and name in split:
             column, lower, upper, parts = split[name]
             reader = reader.options(
                 partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts
             )
-        out[name] = reader.load()
+        out[name] = declared(reader.load(), name)
     return out
 
 

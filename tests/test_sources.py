@@ -3,10 +3,11 @@ from decimal import Decimal
 
 import pytest
 
+from claimlens import session
 from claimlens.operators import load
 from claimlens.plans import jobs
 from claimlens.sources import database, files, snapshots
-from claimlens.sources.warehouse import SCHEMAS, from_parquet
+from claimlens.sources.warehouse import SCHEMAS, declared, from_parquet
 from tests.micro import Micro
 
 
@@ -160,3 +161,24 @@ def test_extract_job(spark, tmp_path):
     assert snapshots.read_latest(spark, target).count() == 4
     with pytest.raises(ValueError, match="Invalid action: output"):
         jobs.extract(tables, "output", "test", "saludmental", "20240601", "20240701", str(tmp_path), "x")
+
+
+def test_declared_columns_and_types(spark):
+    remote = spark.sql("select '7' as IDDENUNCIO, 12 as NumeroDenuncio, 'x' as other")
+    found = declared(remote, "denuncio")
+    assert found.schema.simpleString() == "struct<iddenuncio:bigint,NumeroDenuncio:string>" and tuple(found.first()) == (7, "12")
+    assert declared(remote, "unknown").columns == remote.columns
+
+
+def test_staged_paths_can_be_removed(spark):
+    before = len(session._handed_out)
+    kept = session.stage(spark.range(3), "removable")
+    path = session._handed_out[-1]
+    assert kept.count() == 3 and len(session._handed_out) == before + 1
+    others, session._handed_out[:] = session._handed_out[:-1], [path]
+    try:
+        assert session.remove_staged(spark) == 1 and session._handed_out == []
+        with pytest.raises(Exception, match="(?i)path"):
+            spark.read.parquet(path)
+    finally:
+        session._handed_out[:] = others
