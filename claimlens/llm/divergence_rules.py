@@ -204,8 +204,8 @@ def judge(
     char_distance: float = CHAR_DISTANCE,
     word_distance_most: float = WORD_DISTANCE,
 ) -> DataFrame:
-    """``keep``, the base columns, char_distance and word_distance (to the nearest language; null where
-    they are not judged) and kept.
+    """``keep``, the base columns, char_distance and word_distance (to the nearest language, six digits;
+    null where they are not judged) and kept.
 
     kept is false if base_failed, or if either distance is judged and above its limit. A null text has
     no words (base_failed); without any reference nothing is judged; repeated rows get equal results;
@@ -234,7 +234,8 @@ def judge(
         by_word = let(
             let(letter_words, histogram), lambda f: F.array_min(F.array(*[word_distance(f, r) for r in usable]))
         )
-        rows = rows.withColumns({"char_distance": F.when(judged, by_class), "word_distance": F.when(judged, by_word)})
+        found = {"char_distance": F.round(by_class, 6), "word_distance": F.round(by_word, 6)}
+        rows = rows.withColumns({name: F.when(judged, value) for name, value in found.items()})
     else:
         rows = rows.withColumns({"char_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")})
     far = (F.col("char_distance") > char_distance) | (F.col("word_distance") > word_distance_most)

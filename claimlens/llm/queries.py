@@ -45,13 +45,119 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), F.col("score"), "predicted")
 
 
-@query("op7_divergence_rules")
+_DISTANCE = """sqrt(least(1.0, greatest(0.0, ({twice}) / 2)))"""
+_PART = """(case when {p} > 0 then {p} * log2(2 * {p} / ({p} + {q})) else 0 end
+         + case when {q} > 0 then {q} * log2(2 * {q} / ({p} + {q})) else 0 end)"""
+_CLASSES = ["lower", "space", "mark", "upper", "digit", "rest"]
+_REMOVED = {"space": r"[\x20\x09-\x0D]", "mark": r"\p{P}", "upper": r"\p{Lu}", "digit": r"\p{N}", "lower": r"\p{Ll}"}
+
+
+def _class_counts() -> str:
+    """Steps that take one class after the other out of a text, as common table expressions."""
+    steps, before = [], "texts"
+    for i, name in enumerate(_CLASSES[:-1]):
+        steps.append(
+            f"""t{i} as (select * exclude (left_over), regexp_replace(left_over, '{_REMOVED[name]}+', '', 'g') as left_over,
+                    length(left_over) - length(regexp_replace(left_over, '{_REMOVED[name]}+', '', 'g')) as n_{name} from {before})"""
+        )
+        before = f"t{i}"
+    return ", ".join(steps)
+
+
+@query(
+    "op7_divergence_rules",
+    rf"""
+    with texts as (
+      select doc_id, lang, coalesce(text, '') as text, coalesce(text, '') as left_over,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+             list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}]+'), lambda x: x <> '') as lw
+      from documents
+    ), {_class_counts()},
+    counted as (select *, length(left_over) as n_rest, length(text) as n_all, len(lw) as n_lw from t4),
+    windows as (
+      select doc_id, unnest(range(1, len(w) - 6)) as i,
+             unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) as g from counted
+    ),
+    again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as n from windows) where n > 1),
+    covered as (select doc_id, count(distinct i + k) as n from again, (select unnest(range(0, 8)) as k) group by doc_id),
+    written as (select doc_id, unnest(string_split(text, chr(10))) as line from counted),
+    repeated as (
+      select doc_id, count(*) - count(distinct line) as n from written
+      where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+    ),
+    base as (
+      select c.*, len(c.w)::bigint as n_words, list_sum(list_transform(c.w, lambda x: length(x))) as chars,
+             length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as symbols,
+             coalesce(r.n, 0) as dup_lines, coalesce(v.n, 0) as repeats
+      from counted c left join repeated r on r.doc_id = c.doc_id left join covered v on v.doc_id = c.doc_id
+    ),
+    usable as (select * from base where lang is not null and n_lw >= 20),
+    shapes as (
+      select lang, sum(n_lw) as words, {", ".join(f"sum(n_{c}) / sum(n_all) as q_{c}" for c in _CLASSES)} from usable group by lang
+    ),
+    ranked as (
+      select lang, word, count(*) as n, row_number() over (partition by lang order by count(*) desc, word) as place
+      from (select lang, unnest(lw) as word from usable) group by lang, word
+    ),
+    common as (select r.lang, r.word, r.n / s.words as q from ranked r join shapes s on s.lang = r.lang where place <= 32),
+    totals as (select lang, sum(q) as q from common group by lang),
+    judged as (select * from base where n_words >= 50),
+    by_class as (
+      select doc_id, min({_DISTANCE.format(twice=" + ".join(_PART.format(p=f"(n_{c} / n_all)", q=f"q_{c}") for c in _CLASSES))}) as distance
+      from judged, shapes group by doc_id
+    ),
+    shares as (
+      select j.doc_id, x.word, count(*) / any_value(j.n_lw) as p
+      from judged j, (select doc_id, unnest(lw) as word from judged) x where x.doc_id = j.doc_id group by j.doc_id, x.word
+    ),
+    found as (
+      select s.doc_id, c.lang, sum({_PART.format(p="s.p", q="c.q")}) as twice, sum(s.p) as p, sum(c.q) as q
+      from shares s join common c on c.word = s.word group by s.doc_id, c.lang
+    ),
+    sides as (
+      select j.doc_id, t.lang, coalesce(f.twice, 0) + t.q - coalesce(f.q, 0) as twice,
+             greatest(0.0, 1 - coalesce(f.p, 0)) as p, greatest(0.0, 1 - t.q) as q
+      from judged j cross join totals t left join found f on f.doc_id = j.doc_id and f.lang = t.lang
+    ),
+    by_word as (select doc_id, min({_DISTANCE.format(twice="(twice + " + _PART.format(p="p", q="q") + ")")}) as distance from sides group by doc_id),
+    verdicts as (
+      select b.doc_id, n_words, coalesce(chars, 0)::bigint as word_chars, symbols::bigint as n_symbols,
+             dup_lines::bigint as n_dup_lines, repeats::bigint as n_repeat_words,
+             n_words < 20 or 100 * repeats > 30 * n_words as base_failed,
+             round(k.distance, 6) as char_distance, round(v.distance, 6) as word_distance
+      from base b left join by_class k on k.doc_id = b.doc_id left join by_word v on v.doc_id = b.doc_id
+    )
+    select *, not base_failed and not coalesce(char_distance > 0.26 or word_distance > 0.425, false) as kept from verdicts
+    """,
+)
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return divergence_rules.judge(documents, divergence_rules.references(documents))
 
 
-@query("op10_token_group_join")
+@query(
+    "op10_token_group_join",
+    r"""
+    with recursive words as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') as w from documents
+    ), sets as (
+      select doc_id, case when len(w) = 0 then [] else list_distinct(list_transform(
+               range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) end as s from words
+    ), tokens as (
+      select doc_id, len(s) as n, unnest(s) as t from sets
+    ), pairs as (
+      select a.doc_id as a, b.doc_id as b, count(*) as i, any_value(a.n + b.n) as n
+      from tokens a join tokens b on a.t = b.t and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+    ), links as (
+      select a, b from pairs where 100 * i >= 85 * (n - i) union all select b, a from pairs where 100 * i >= 85 * (n - i)
+    ), reached(doc_id, other) as (
+      select doc_id, doc_id from documents union select r.doc_id, l.b from reached r join links l on l.a = r.other
+    )
+    select s.doc_id, len(s.s)::bigint as n_shingles, min(r.other) as component_id
+    from sets s join reached r on r.doc_id = s.doc_id group by s.doc_id, s.s
+    """,
+)
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return token_group_join.link(table(spark, folder, "documents"))
 
