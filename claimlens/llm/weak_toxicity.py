@@ -70,8 +70,15 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) ->
     several labels counts as toxic if one of them says so."""
     rows = labels.where(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    lowest = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = rows.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_class)
+    rows = rows.withColumn("hash", F.xxhash64("doc_id"))
+    # Half as many again as wanted lie below these hashes: only they are ranked, however many labels there are.
+    low = F.lit(False)
+    for row in rows.groupBy("toxic").count().collect():
+        share = min(1.0, 1.5 * per_class / row["count"])
+        below = 2**63 - 1 if share == 1.0 else int(-(2**63) + share * 2**64)
+        low = low | ((F.col("toxic") == row["toxic"]) & (F.col("hash") <= F.lit(below)))
+    lowest = Window.partitionBy("toxic").orderBy("hash", "doc_id")
+    rows = rows.where(low).withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_class)
     # Bounded by 2 * per_class rows of two numbers.
     return documents.select("doc_id", text_or_empty().alias("text")).join(
         F.broadcast(rows.select("doc_id", "toxic")), "doc_id"
