@@ -5,7 +5,8 @@ where it is long: the first in the record itself, the others in ``continuation``
 payload that another page has already are ``revisit`` records, which refer to it.
 
 Archives are written by Spark's text writer, a record a line, with the two line ends that close a WARC
-record as its line end. Segments keep records, and records a file keep files, below a known size.
+record as its line end, and compressed by it. Segments keep records, and records a file keep files,
+below a known size.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -136,19 +138,16 @@ def write(
 
     Of the pages with equal payloads of at least ``revisit_bytes`` bytes the one with the smallest page_id
     (nulls last, repeated rows by place) is the response; the others revisit it. A row with a null page_id
-    or url gets records as any other; rows may be repeated. Other columns are not read.
+    or url gets records as any other; rows may be repeated. Other columns are not read. A row is known
+    by its place in ``pages``, which is read twice: it must be a table, or the result of a checkpoint.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_or_empty("html").alias("html"))
-    # Written once, so that a row's number is the same for all that read it.
-    rows = stage(
-        rows.withColumns(
-            {
-                "row": F.monotonically_increasing_id(),
-                "digest": F.sha1(F.encode("html", "UTF-8")),
-                "size": F.octet_length("html"),
-            }
-        ),
-        "warc-rows",
+    rows = rows.withColumns(
+        {
+            "row": F.monotonically_increasing_id(),
+            "digest": F.sha1(F.encode("html", "UTF-8")),
+            "size": F.octet_length("html"),
+        }
     )
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first")
     firsts = rows.where(F.col("size") >= revisit_bytes).groupBy("digest", "size").agg(first)
@@ -162,17 +161,28 @@ def write(
             made = [r for row in batch.to_pylist() for r in records_of(row, segment_bytes)]
             yield pa.record_batch([pa.array(made, pa.string())], ["value"])
 
-    linked.mapInArrow(encode, "value string").write.option("lineSep", _BETWEEN).option(
-        "maxRecordsPerFile", file_records
-    ).text(path)
+    writer = linked.mapInArrow(encode, "value string").write.option("lineSep", _BETWEEN)
+    writer.option("maxRecordsPerFile", file_records).option("compression", "gzip").text(path)
 
 
 FIELDS = (
     "record_id string, type string, page string, digest string, refers_to string, origin string, "
-    "segment int, total bigint, block binary"
+    "segment int, total bigint, segmented boolean, block binary"
 )
 
 
+def expanded(file: bytes) -> bytes:
+    """The content of a file that may be compressed, as one member or as many."""
+    parts = []
+    while file[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(wbits=31)
+        parts.append(member.decompress(file))
+        if not member.eof:
+            raise ValueError("a compressed file is cut off")
+        file = member.unused_data
+    return b"".join(parts) or file
+
+
 def parsed(archive: bytes) -> Iterator[dict]:
     """The records of an archive: found by their lengths, not by what their blocks hold."""
     at = 0
@@ -197,6 +207,7 @@ def parsed(archive: bytes) -> Iterator[dict]:
             "origin": head.get("warc-segment-origin-id", head["warc-record-id"]),
             "segment": int(head.get("warc-segment-number", 1)),
             "total": None if total is None else int(total),
+            "segmented": "warc-segment-number" in head,
             "block": block,
         }
 
@@ -208,12 +219,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         names = [f.name for f in schema]
         for batch in batches:
             for archive in batch.column(0):
-                rows = list(parsed(archive.as_py()))
+                rows = list(parsed(expanded(archive.as_py())))
                 columns = [pa.array([r[n] for r in rows], kind) for n, kind in zip(names, kinds, strict=True)]
                 yield pa.record_batch(columns, names)
 
     schema = T.StructType.fromDDL(FIELDS)
-    kinds = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.where("length > 0").select("content").mapInArrow(parse, FIELDS)
 
@@ -223,10 +234,12 @@ def reassemble(records: DataFrame) -> DataFrame:
 
     Segments are grouped by their origin and ordered by number; numbers must run from 1 without a gap and
     their lengths must add up to the total that the last one states. Anything else raises an error: an
-    archive that lost a segment is never read as a shorter page. A group is one page's segments.
+    archive that lost a segment is never read as a shorter page. A group is one page's segments; records
+    that are not in segments are not moved.
     """
     part = F.struct("segment", "block", "total", "record_id", "type", "page", "digest", "refers_to")
-    whole = records.groupBy("origin").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    cut = records.where("segmented").groupBy("origin").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    whole = records.where("not segmented").select(F.array(part).alias("parts")).union(cut.select("parts"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
