@@ -26,6 +26,9 @@ LEVEL = 9
 # A text is encoded in blocks of so many bytes, so that the dictionary, and not what the text says
 # earlier, is what a long text is measured against.
 BLOCK_BYTES = 4096
+# A text of fewer bytes is said over and over until it has so many: the encoder leaves very short input
+# as it is, so that no dictionary would count.
+LEAST_BYTES = 256
 # Rejected: the runner-up needs less than this share more bytes than the winner.
 NARROW = 0.005
 UNDETERMINED = "und"
@@ -93,6 +96,7 @@ class Sizes:
 
     def of(self, words: str) -> list[int]:
         raw = words.encode()
+        raw *= max(1, -(-LEAST_BYTES // max(1, len(raw))) if len(raw) < LEAST_BYTES else 1)
         blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
         return [sum(len(encoder.compress(b)) for b in blocks) for encoder in self._encoders]
 
