@@ -37,6 +37,21 @@ def test_lines(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_copies_keep_their_article(spark):
+    """Copies and near copies of an article are above a line's share; one whole article is left of each."""
+    def article(name, changed=None):
+        lines = [" ".join(f"{name}{i}x{j}" for j in range(20)) for i in range(20)]
+        if changed is not None:
+            lines[changed] += f" changed {changed}"
+        return "\n".join(lines)
+
+    texts = [article("a")] * 5 + [article("b")] + [article("b", c) for c in range(4)] + [article(f"c{i}") for i in range(20)]
+    rows = [(i, f"home\n{text}", "en", "s") for i, text in enumerate(texts)]
+    docs = step("lines")(spark, documents(spark, rows), SF)
+    found = {r.doc_id: r.text for r in step("near_copies")(spark, docs, SF).collect()}
+    assert found == {i: texts[i] for i in (0, 5, *range(10, 30))}
+
+
 def test_near_copies_leave_one_of_each_group(spark):
     rows = [*near_copies(72, 5), (500, None), (None, "a b c"), (None, "a b c"), (501, "x y"), (501, "x y"), (502, "")]
     found = step("near_copies")(spark, documents(spark, rows), SF)
