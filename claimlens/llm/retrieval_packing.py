@@ -1,14 +1,16 @@
 """Packing documents into training sequences with lexically related neighbours.
 
-Documents are dealt by hash into shards of bounded size. A shard has an inverted index with BM25 weights
-over token ids. The first unused document is a seed; its strongest terms are looked up, and the unused
-documents with the best scores fill the rest of its window: those that fit whole first, then the best one
-that does not, cut to what is left. A shard leaves one window that is not full, at most.
+Documents are dealt by hash into shards of bounded size. A shard has an index with BM25 weights over token
+ids. The first
+unused document is a seed, and the unused documents of its shard that share a term with it fill the rest
+of its window, best score first; the last one is cut to what is left. Where none is left, the next unused
+ones follow in order. A shard leaves one window that is not full, at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -22,47 +24,108 @@ from claimlens.llm.tree_bpe import Codec, rank_file
 WINDOW = 2048
 END_OF_TEXT = 1  # closes every document
 SHARD_CHARS = 8_000_000  # a shard's text, on average: what a task holds at a time
-QUERY_TERMS = 12
-NEIGHBOURS = 32
+RANKED_FIRST = 64  # the best so many are put in order first, the others if these do not fill a window
 K1, B = 1.2, 0.75
 
 
+class Statistics(NamedTuple):
+    """Of all documents: their number, their mean length, and how many hold each id."""
+
+    documents: int
+    mean: float
+    held: np.ndarray
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """BM25 weights of terms that documents of these lengths hold so many times."""
+        found = self.held[terms]
+        idf = np.log1p((self.documents - found + 0.5) / (found + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(1.0, self.mean))
+        return counts * (K1 + 1) / (counts + norm) * idf
+
+
+def terms_of(document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A document's distinct ids and their counts; what closes every document is no term."""
+    terms, counts = np.unique(document, return_counts=True)
+    kept = terms != END_OF_TEXT
+    return terms[kept], counts[kept].astype(float)
+
+
+def statistics_of(documents: list[np.ndarray]) -> Statistics:
+    each = [terms_of(d)[0] for d in documents]
+    held = np.bincount(np.concatenate([np.empty(0, np.int64), *each]).astype(np.int64), minlength=1)
+    return Statistics(len(documents), sum(map(len, documents)) / max(1, len(documents)), held)
+
+
 class Index:
-    """BM25 over documents given as arrays of ids."""
+    """BM25 over documents given as arrays of ids. A term that many of the documents hold is a column of a
+    matrix, a rarer one has a list; a score is over all terms of the seed."""
 
-    def __init__(self, documents: list[np.ndarray]):
+    def __init__(self, documents: list[np.ndarray], statistics: Statistics | None = None):
+        statistics = statistics or statistics_of(documents)
         n = len(documents)
-        each = [np.unique(d, return_counts=True) for d in documents]
-        terms = np.concatenate([t for t, _ in each]) if n else np.empty(0, np.uint32)
-        counts = np.concatenate([c for _, c in each]).astype(float) if n else np.empty(0)
-        owner = np.repeat(np.arange(n), [len(t) for t, _ in each])
+        each = [terms_of(d) for d in documents]
+        sizes = [len(t) for t, _ in each]
+        terms = np.concatenate([np.empty(0, np.int64), *[t for t, _ in each]]).astype(np.int64)
+        counts = np.concatenate([np.empty(0), *[c for _, c in each]])
+        owner = np.repeat(np.arange(n), sizes)
         length = np.array([len(d) for d in documents], float)
-        norm = K1 * (1 - B + B * length / max(1.0, length.mean() if n else 1.0))
-        by = np.argsort(terms, kind="stable")
-        self._terms = np.unique(terms)
-        self._starts = np.searchsorted(terms[by], self._terms)
-        self._ends = np.r_[self._starts[1:], len(terms)]
-        found = self._ends - self._starts
-        idf = np.log1p((n - found + 0.5) / (found + 0.5))
-        place = np.searchsorted(self._terms, terms)
-        weight = counts * (K1 + 1) / (counts + norm[owner]) * idf[place]
-        self._owner, self._weight = owner[by], weight[by]
-        # Each document's strongest terms, as places in the list of terms.
-        ends = np.cumsum([len(t) for t, _ in each], dtype=np.int64)
-        self._query = []
-        for start, end in zip(np.r_[0, ends[:-1]], ends, strict=True) if n else ():
-            strongest = np.argsort(-weight[start:end], kind="stable")[:QUERY_TERMS]
-            self._query.append(place[start + strongest])
+        weight = statistics.weights(terms, counts, length[owner])
+        found = np.bincount(terms, minlength=1)
+        place = (np.cumsum(found > 0) - 1)[terms]
+        found = found[found > 0]
+        # A matrix at least a quarter of which is filled: no larger than the lists in its place.
+        wide = found > n / 4
+        column = np.cumsum(wide) - 1
+        common = wide[place]
+        self._matrix = np.zeros((n, int(wide.sum())), np.float32)
+        self._matrix[owner[common], column[place[common]]] = weight[common]
+        self._seeds = self._matrix > 0
+        # Terms that no other document holds add to no score.
+        rare = ~common & (found[place] > 1)
+        ends = np.searchsorted(owner[rare], np.arange(1, n + 1))
+        self._query = np.split(place[rare], ends[:-1]) if n else []
+        by = np.argsort(place[rare].astype(np.min_scalar_type(len(found))), kind="stable")
+        self._place, self._owner, self._weight = place[rare][by], owner[rare][by], weight[rare][by]
+        self.documents = np.arange(n)
+        self._terms = len(found)
+        self._bounds()
+
+    def _bounds(self) -> None:
+        self._starts = np.searchsorted(self._place, np.arange(self._terms + 1))
+
+    def keep(self, kept: np.ndarray) -> None:
+        """From now on only those of ``documents`` are looked for."""
+        of_kept = kept[self._owner]
+        self._owner = (np.cumsum(kept) - 1)[self._owner[of_kept]]
+        self._place, self._weight = self._place[of_kept], self._weight[of_kept]
+        self._matrix, self.documents = self._matrix[kept], self.documents[kept]
+        self._bounds()
 
     def scores(self, seed: int) -> np.ndarray:
-        scores = np.zeros(len(self._query))
-        for t in self._query[seed]:
-            part = slice(self._starts[t], self._ends[t])
-            scores[self._owner[part]] += self._weight[part]
-        return scores
-
-
-def packed(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
+        """Of each of ``documents``, by what it has of the seed's terms."""
+        starts = self._starts[self._query[seed]]
+        sizes = self._starts[self._query[seed] + 1] - starts
+        at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self._owner[at], self._weight[at], minlength=len(self.documents))
+        return scores + self._matrix @ self._seeds[seed].astype(np.float32)
+
+
+def ranked(scores: np.ndarray) -> Iterator[int]:
+    """Places of all scores above 0, best first, equal ones in order."""
+    given, some = 0, RANKED_FIRST
+    while True:
+        least = np.partition(scores, -some)[-some] if some < len(scores) else 0.0
+        places = np.flatnonzero((scores >= least) & (scores > 0))
+        places = places[np.lexsort((places, -scores[places]))]
+        yield from places[given:].tolist()
+        if least <= 0:
+            return
+        given, some = len(places), 8 * some
+
+
+def packed(
+    documents: list[np.ndarray], window: int = WINDOW, statistics: Statistics | None = None
+) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece; each id lies in exactly one."""
     length = np.array([len(d) for d in documents], np.int64)
     taken = np.zeros(len(documents), np.int64)
@@ -73,7 +136,7 @@ def packed(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[
             yield int(d), int(taken[d]), window, sequence, 0
             taken[d] += window
             sequence += 1
-    index = Index(documents)
+    index = Index(documents, statistics)
     left = length - taken
     seed = 0
     while seed < len(documents):
@@ -91,24 +154,23 @@ def packed(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[
 
         yield piece(seed, left[seed])
         if used < window:
+            unused = left[index.documents] > 0
+            if unused.sum() < 0.75 * len(unused):
+                index.keep(unused)
+                unused = unused[unused]
             scores = index.scores(seed)
-            scores[left == 0] = -1.0
-            some = min(NEIGHBOURS, len(scores))
-            best = np.argpartition(-scores, some - 1)[:some]
-            best = best[scores[best] >= 0]
-            best = best[np.lexsort((best, -scores[best]))]
-            for d in best:
-                if left[d] <= window - used:
-                    yield piece(d, left[d])
-            for d in best:
-                if left[d] and used < window:
-                    yield piece(d, window - used)
-            # Neighbours all used up: the next unused documents in order.
-            after = seed + 1
-            while used < window and after < len(documents):
-                if left[after]:
-                    yield piece(after, min(left[after], window - used))
-                after += 1
+            scores[~unused] = 0.0
+            for place in ranked(scores):
+                d = index.documents[place]
+                yield piece(d, min(left[d], window - used))
+                if used == window:
+                    break
+            # No unused document shares a term: the next ones in order.
+            if used < window:
+                for d in np.flatnonzero(left):
+                    yield piece(d, min(left[d], window - used))
+                    if used == window:
+                        break
         sequence += 1
 
 

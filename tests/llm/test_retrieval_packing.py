@@ -92,3 +92,18 @@ def test_scores_are_bm25():
             tf = int((d == term).sum())
             expected[i] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
     assert packing.Index(docs).scores(0) == pytest.approx(expected)
+
+
+def test_all_shared_terms_are_looked_up():
+    """A seed with many strong terms of its own still finds the documents that share its weaker ones."""
+    docs = [np.r_[np.arange(100, 140), 7, 8], *(np.arange(1000 * i, 1000 * i + 42) for i in range(2, 9)), np.full(42, 7)]
+    first = [d for d, _, _, s, _ in packing.packed([d.astype(np.uint32) for d in docs], 84) if s == 0]
+    assert first == [0, 8]
+
+
+def test_neighbours_until_the_window_is_full():
+    """More related documents than any fixed number, and no unrelated one before them."""
+    docs = [np.array([5 + (i % 2), 1], np.uint32) for i in range(200)]
+    pieces = list(packing.packed(docs, 160))
+    assert [d for d, _, _, s, _ in pieces if s == 0] == list(range(0, 160, 2))
+    assert [d for d, _, _, s, _ in pieces if s == 2] == [*range(160, 200, 2), *range(161, 200, 2)]
