@@ -1,7 +1,7 @@
 """Packing documents into training sequences with lexically related neighbours.
 
-Documents are dealt by hash into shards of bounded size. A shard has an index with BM25 weights over token
-ids. The first
+Documents are dealt by their leading terms into shards of bounded size. A shard has an index with BM25
+weights over token ids; document frequencies and the mean length are those of the whole corpus. The first
 unused document is a seed, and the unused documents of its shard that share a term with it fill the rest
 of its window, best score first; the last one is cut to what is left. Where none is left, the next unused
 ones follow in order. A shard leaves one window that is not full, at most.
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import text_or_empty
 from claimlens.llm.tree_bpe import Codec, rank_file
+from claimlens.session import stage
 
 WINDOW = 2048
 END_OF_TEXT = 1  # closes every document
@@ -174,6 +175,113 @@ def packed(
         sequence += 1
 
 
+def encoded(documents: DataFrame, key: str, text: str, shared) -> DataFrame:
+    """(__key, __ids, __cost) of every row, written once: ids with ``END_OF_TEXT`` as bytes, and characters."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(shared.value)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            ids = [np.append(codec.encode(t), np.uint32(END_OF_TEXT)).astype("<u4") for t in texts]
+            cost = [len(t) for t in texts]
+            yield pa.record_batch(
+                [batch.column(0), pa.array([_bytes(i) for i in ids], pa.binary()), pa.array(cost, pa.int64())],
+                ["__key", "__ids", "__cost"],
+            )
+
+    rows = documents.select(F.col(key).alias("__key"), text_or_empty(text).alias("__text"))
+    kind = documents.schema[key].dataType.simpleString()
+    rows = rows.mapInArrow(encode, f"__key {kind}, __ids binary, __cost bigint")
+    return stage(rows, "packing-ids")
+
+
+def _bytes(ids: np.ndarray) -> bytes:
+    """Two bytes an id where they suffice, else four; the first byte tells."""
+    return b"\2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\4" + ids.tobytes()
+
+
+def _ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype("<u4")
+
+
+def corpus_statistics(rows: DataFrame) -> Statistics:
+    """Of all rows of ``encoded``. One number per id of the vocabulary reaches the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, length = np.zeros(1, np.int64), 0
+        for batch in batches:
+            each = [_ids(d) for d in batch.column(0).to_pylist()]
+            found = np.bincount(np.concatenate([np.empty(0, np.int64), *[terms_of(d)[0] for d in each]]).astype(np.int64))
+            longer = max(len(held), len(found))
+            held = np.pad(held, (0, longer - len(held))) + np.pad(found, (0, longer - len(found)))
+            length += sum(map(len, each))
+        terms = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(np.r_[-1, terms]), pa.array(np.r_[length, held[terms]])], ["term", "n"])
+
+    counts = rows.select("__ids").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    found = {r["term"]: r["n"] for r in counts.collect()}
+    total, n = found.pop(-1, 0), rows.count()
+    held = np.zeros(max(found, default=0) + 1, np.int64)
+    held[list(found)] = list(found.values())
+    return Statistics(n, total / max(1, n), held)
+
+
+def leading_terms(document: np.ndarray, statistics: Statistics, least: float) -> tuple[int, int]:
+    """A document's two strongest terms among those that ``least`` documents hold, or else among all; -1 for none."""
+    terms, counts = terms_of(document)
+    weight = statistics.weights(terms, counts, np.float64(len(document)))
+    weight[statistics.held[terms] < least] -= 1e6
+    order = np.argsort(-weight, kind="stable")[:2]
+    first, second, *_ = *terms[order].tolist(), -1, -1
+    return first, second
+
+
+def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int, shared) -> DataFrame:
+    """``encoded`` rows with their __shard. Documents of one leading term lie in one shard or in shards side
+    by side: those of a term too large for one are divided by their second terms, and those of both terms,
+    where they are too many, by a hash of key and ids.
+
+    What the driver plans with are sums: per leading term, and per part of those that are divided, of which
+    there are a few for each shard."""
+    least = 0.5 * statistics.documents / shards
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [leading_terms(_ids(d), shared.value, least) for d in batch.column(1).to_pylist()]
+            yield pa.record_batch(
+                [
+                    *batch.columns,
+                    pa.array([p[0] for p in pairs], pa.int64()),
+                    pa.array([p[1] for p in pairs], pa.int64()),
+                ],
+                [*batch.schema.names, "__first", "__second"],
+            )
+
+    kind = rows.schema["__key"].dataType.simpleString()
+    led = rows.mapInArrow(
+        lead, f"__key {kind}, __ids binary, __cost bigint, __first bigint, __second bigint"
+    )
+    sums = led.groupBy("__first", "__second").agg(F.sum("__cost").alias("__cost"))
+    sums = stage(sums, "packing-terms")
+    part = shard_chars / 4
+    divided = sums.groupBy("__first").agg(F.greatest(F.lit(1), F.ceil(2 * F.sum("__cost") / part)).alias("__parts"))
+    divided = divided.withColumn("__parts", F.when(F.col("__parts") <= 2, 1).otherwise(F.col("__parts")))
+    divided = stage(divided, "packing-parts")
+    in_part = F.pmod(F.xxhash64("__second"), F.col("__parts")).alias("__part")
+    units = sums.join(F.broadcast(divided), "__first").groupBy("__first", in_part).agg(F.sum("__cost").alias("cost"))
+    places, at = [], 0.0
+    for u in units.orderBy("__first", "__part").collect():
+        # Rows of a unit lie between at and at + cost, by their hash; a small unit's lie at its middle.
+        spread = float(u["cost"]) if u["cost"] > part else 0.0
+        places.append((u["__first"], u["__part"], at + (0.0 if spread else u["cost"] / 2), spread))
+        at += u["cost"]
+    places = rows.sparkSession.createDataFrame(places, "__first bigint, __part bigint, __at double, __spread double")
+    led = led.join(F.broadcast(divided), "__first").withColumn("__part", in_part)
+    led = led.join(F.broadcast(places), ["__first", "__part"])
+    shard = F.floor((F.col("__at") + F.pmod(F.xxhash64("__key", "__ids"), F.lit(1 << 20)) / (1 << 20) * F.col("__spread")) / shard_chars).cast("bigint")
+    return led.select("__key", "__ids", shard.alias("__shard"))
+
+
 def pack(
     documents: DataFrame,
     key: str = "doc_id",
@@ -187,22 +295,25 @@ def pack(
     Every row is a document: its ids, then ``END_OF_TEXT``. A null or empty text is that id alone. Rows
     with equal keys are documents of their own; a null key stays null. An empty table gives no rows;
     other columns are not read. A sequence lies in one shard, whose number is the upper half of its id.
-    Shards are dealt by a hash of key and text, so a recomputed task makes the same pieces.
+    Shards are dealt from written rows, so a recomputed task makes the same pieces.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(ranks or rank_file())
-    rows = documents.select(F.col(key).alias("__key"), text_or_empty(text).alias("__text"))
-    chars = rows.agg(F.sum(F.length("__text"))).first()[0] or 0
-    shards = max(1, -(-chars // shard_chars))
-    rows = rows.withColumn("__shard", F.pmod(F.xxhash64("__key", "__text"), F.lit(shards)).cast("bigint"))
+    context = documents.sparkSession.sparkContext
+    rows = encoded(documents, key, text, context.broadcast(ranks or rank_file()))
+    statistics = corpus_statistics(rows)
+    shared = context.broadcast(statistics)
+    cost = rows.agg(F.sum("__cost")).first()[0] or 0
+    shards = max(1, -(-cost // shard_chars))
+    if shards == 1:
+        rows = rows.select("__key", "__ids", F.lit(0).cast("bigint").alias("__shard"))
+    else:
+        rows = dealt(rows, statistics, shards, shard_chars, shared)
 
     def fill(table: pa.Table) -> pa.Table:
         shard = table.column("__shard")[0].as_py()
-        keys, texts = table.column("__key").to_pylist(), table.column("__text").to_pylist()
-        order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i], texts[i]))
-        codec = Codec(shared.value)
-        ids = [np.append(codec.encode(texts[i]), np.uint32(END_OF_TEXT)).astype("<u4") for i in order]
-        pieces = list(packed(ids, window))
+        keys, data = table.column("__key").to_pylist(), table.column("__ids").to_pylist()
+        order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i], data[i]))
+        ids = [_ids(data[i]) for i in order]
+        pieces = list(packed(ids, window, shared.value))
         parts = [ids[d][start : start + size] for d, start, size, _, _ in pieces]
         return pa.table(
             {

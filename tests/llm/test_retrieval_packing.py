@@ -107,3 +107,25 @@ def test_neighbours_until_the_window_is_full():
     pieces = list(packing.packed(docs, 160))
     assert [d for d, _, _, s, _ in pieces if s == 0] == list(range(0, 160, 2))
     assert [d for d, _, _, s, _ in pieces if s == 2] == [*range(160, 200, 2), *range(161, 200, 2)]
+
+
+def test_statistics_cover_all_shards(spark, tokenizer):
+    rows = [(i, f"word{i % 7} text {i} " * 20) for i in range(200)]
+    ids = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], np.uint32) for _, t in rows]
+    staged = packing.encoded(documents(spark, rows), "doc_id", "text", spark.sparkContext.broadcast(packing.rank_file()))
+    found, expected = packing.corpus_statistics(staged), packing.statistics_of(ids)
+    assert found.documents == 200 and found.mean == pytest.approx(expected.mean)
+    assert found.held.tolist() == expected.held.tolist()
+
+
+def test_related_documents_meet_in_a_shard(spark, tokenizer):
+    """Four topics of a shard each: a sequence holds one topic, which a deal by hash would mix."""
+    names = ["orbit planet comet", "sonata violin cello", "glacier fjord moraine", "tariff ledger audit"]
+    rows = [(i, f"{names[i % 4]} " * (20 + i // 4)) for i in range(160)]
+    cost = sum(len(t) for _, t in rows)
+    pieces = packing.pack(documents(spark, rows), window=512, shard_chars=-(-cost // 4)).collect()
+    check(pieces, rows, tokenizer, 512)
+    topics = defaultdict(set)
+    for p in pieces:
+        topics[p.sequence_id].add(p.doc_id % 4)
+    assert sum(len(t) == 1 for t in topics.values()) > 0.8 * len(topics)
