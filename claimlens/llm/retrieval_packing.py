@@ -25,6 +25,8 @@ from claimlens.session import stage
 WINDOW = 2048
 END_OF_TEXT = 1  # closes every document
 SHARD_CHARS = 8_000_000  # a shard's text, on average: what a task holds at a time
+ROW_CHARS = 64  # what a row adds to its shard's size besides its characters
+SALT_SEED = 20240611
 RANKED_FIRST = 64  # the best so many are put in order first, the others if these do not fill a window
 K1, B = 1.2, 0.75
 
@@ -176,14 +178,15 @@ def packed(
 
 
 def encoded(documents: DataFrame, key: str, text: str, shared) -> DataFrame:
-    """(__key, __ids, __cost) of every row, written once: ids with ``END_OF_TEXT`` as bytes, and characters."""
+    """(__key, __ids, __cost, __salt) of every row, written once: ids with ``END_OF_TEXT`` as bytes, what a
+    shard's size counts, and a number in [0, 1) that spreads rows with nothing to tell them apart."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             ids = [np.append(codec.encode(t), np.uint32(END_OF_TEXT)).astype("<u4") for t in texts]
-            cost = [len(t) for t in texts]
+            cost = [len(t) + ROW_CHARS for t in texts]
             yield pa.record_batch(
                 [batch.column(0), pa.array([_bytes(i) for i in ids], pa.binary()), pa.array(cost, pa.int64())],
                 ["__key", "__ids", "__cost"],
@@ -192,7 +195,7 @@ def encoded(documents: DataFrame, key: str, text: str, shared) -> DataFrame:
     rows = documents.select(F.col(key).alias("__key"), text_or_empty(text).alias("__text"))
     kind = documents.schema[key].dataType.simpleString()
     rows = rows.mapInArrow(encode, f"__key {kind}, __ids binary, __cost bigint")
-    return stage(rows, "packing-ids")
+    return stage(rows.withColumn("__salt", F.rand(SALT_SEED)), "packing-ids")
 
 
 def _bytes(ids: np.ndarray) -> bytes:
@@ -239,7 +242,7 @@ def leading_terms(document: np.ndarray, statistics: Statistics, least: float) ->
 def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int, shared) -> DataFrame:
     """``encoded`` rows with their __shard. Documents of one leading term lie in one shard or in shards side
     by side: those of a term too large for one are divided by their second terms, and those of both terms,
-    where they are too many, by a hash of key and ids.
+    where they are too many (copies among them), by their salt.
 
     What the driver plans with are sums: per leading term, and per part of those that are divided, of which
     there are a few for each shard."""
@@ -259,7 +262,7 @@ def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int
 
     kind = rows.schema["__key"].dataType.simpleString()
     led = rows.mapInArrow(
-        lead, f"__key {kind}, __ids binary, __cost bigint, __first bigint, __second bigint"
+        lead, f"__key {kind}, __ids binary, __cost bigint, __salt double, __first bigint, __second bigint"
     )
     sums = led.groupBy("__first", "__second").agg(F.sum("__cost").alias("__cost"))
     sums = stage(sums, "packing-terms")
@@ -271,14 +274,14 @@ def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int
     units = sums.join(F.broadcast(divided), "__first").groupBy("__first", in_part).agg(F.sum("__cost").alias("cost"))
     places, at = [], 0.0
     for u in units.orderBy("__first", "__part").collect():
-        # Rows of a unit lie between at and at + cost, by their hash; a small unit's lie at its middle.
+        # Rows of a unit lie between at and at + cost, by their salt; a small unit's lie at its middle.
         spread = float(u["cost"]) if u["cost"] > part else 0.0
         places.append((u["__first"], u["__part"], at + (0.0 if spread else u["cost"] / 2), spread))
         at += u["cost"]
     places = rows.sparkSession.createDataFrame(places, "__first bigint, __part bigint, __at double, __spread double")
     led = led.join(F.broadcast(divided), "__first").withColumn("__part", in_part)
     led = led.join(F.broadcast(places), ["__first", "__part"])
-    shard = F.floor((F.col("__at") + F.pmod(F.xxhash64("__key", "__ids"), F.lit(1 << 20)) / (1 << 20) * F.col("__spread")) / shard_chars).cast("bigint")
+    shard = F.floor((F.col("__at") + F.col("__salt") * F.col("__spread")) / shard_chars).cast("bigint")
     return led.select("__key", "__ids", shard.alias("__shard"))
 
 

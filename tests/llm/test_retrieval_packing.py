@@ -122,10 +122,20 @@ def test_related_documents_meet_in_a_shard(spark, tokenizer):
     """Four topics of a shard each: a sequence holds one topic, which a deal by hash would mix."""
     names = ["orbit planet comet", "sonata violin cello", "glacier fjord moraine", "tariff ledger audit"]
     rows = [(i, f"{names[i % 4]} " * (20 + i // 4)) for i in range(160)]
-    cost = sum(len(t) for _, t in rows)
+    cost = sum(len(t) + packing.ROW_CHARS for _, t in rows)
     pieces = packing.pack(documents(spark, rows), window=512, shard_chars=-(-cost // 4)).collect()
     check(pieces, rows, tokenizer, 512)
     topics = defaultdict(set)
     for p in pieces:
         topics[p.sequence_id].add(p.doc_id % 4)
     assert sum(len(t) == 1 for t in topics.values()) > 0.8 * len(topics)
+
+
+def test_equal_rows_and_empty_texts_are_spread(spark, tokenizer):
+    rows = [(None, "the same text again")] * 300 + [(None, "")] * 300
+    pieces = packing.pack(documents(spark, rows), window=64, shard_chars=6000).collect()
+    check(pieces, rows, tokenizer, 64)
+    held = defaultdict(int)
+    for p in pieces:
+        held[p.sequence_id >> 32] += 1
+    assert len(held) > 4 and max(held.values()) < 200
