@@ -61,6 +61,14 @@ def test_near_copies_leave_one_of_each_group(spark):
     assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_different_texts_of_one_id(spark):
+    """A text that is a near copy of nothing stays, whatever else its doc_id names."""
+    texts = {n: " ".join(f"{n}{i}" for i in range(60)) for n in "abc"}
+    rows = [(1, texts["a"]), (2, texts["a"] + " more"), (2, texts["b"]), (3, texts["b"]), (3, texts["c"]), (3, texts["c"])]
+    found = step("near_copies")(spark, documents(spark, rows), SF)
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, texts["a"]), (2, texts["b"]), (3, texts["c"])]
+
+
 def test_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, function in pipeline.STAGES:
