@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import compression_language, divergence_rules, impact_search, line_frequency, page_difference, retrieval_packing, token_group_join, tree_bpe, warc_segments, weak_toxicity
+from claimlens.llm import chat_format, collocations, compression_language, conversation_trie, divergence_rules, impact_search, line_frequency, page_difference, retrieval_packing, token_group_join, tree_bpe, warc_segments, weak_toxicity
 from claimlens.llm.common import held_out, table
 
 QUERIES = {}
@@ -249,3 +249,124 @@ def main_texts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_retrieval_packing")
 def sequences(spark: SparkSession, folder: str) -> DataFrame:
     return retrieval_packing.pack(table(spark, folder, "documents")).drop("ids")
+
+
+# crc32 of the decimal digits of c, bit by bit.
+CRC32 = """
+xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+    lambda v, step: case when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end)), 4294967295::bigint)
+"""
+
+
+@query(
+    "op11_conversation_trie",
+    rf"""
+    with own as (
+      select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+             row_number() over (partition by conv_id order by turn nulls first,
+               md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+      from conversations where conv_id is not null
+    ), heads as (
+      select c, {CRC32} % 4 as h from (select distinct c from own)
+    ), turns as (
+      select h.c, 0 as part, o.i, struct_pack(role := o.role, text := o.text) as t
+      from heads h join own o on o.c = h.c - h.c % 20 and o.i <= h.h
+      union all
+      select h.c, 1 as part, o.i, struct_pack(role := o.role, text := o.text) as t from heads h join own o on o.c = h.c and o.i > h.h
+    ), rebuilt as (
+      select h.c, coalesce(l.ts, []) as ts
+      from heads h left join (select c, list(t order by part, i) as ts from turns group by c) l on l.c = h.c
+    ), prefixes as (
+      select c, len(ts) as n, d, list_slice(ts, 1, d) as ts from (select c, ts, unnest(range(0, len(ts) + 1)) as d from rebuilt)
+    ), nodes as (
+      select d, ts, min(c) as c, count(*) as n_convs,
+             sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where n = d), '')) as ends,
+             len(regexp_extract_all(any_value(ts[d].text), '[^\x20\x09-\x0D]+')) as words
+      from prefixes group by d, ts
+    ), linked as (
+      select n.*, p.c as parent, (select count(*) from nodes x where x.d = n.d + 1 and list_slice(x.ts, 1, n.d) = n.ts) as n_children
+      from nodes n left join nodes p on p.d = n.d - 1 and p.ts = list_slice(n.ts, 1, n.d - 1)
+    )
+    select a.c as conv_id, a.d as depth, a.parent as parent_conv_id, a.n_convs, a.n_children,
+           count(*) filter (where b.n_children = 0) as n_leaves,
+           coalesce(sum((b.n_convs - 1) * b.words), 0)::bigint as saved_tokens, a.ends as ends_sha256
+    from linked a join linked b on b.d >= a.d and list_slice(b.ts, 1, a.d) = a.ts
+    group by a.c, a.d, a.parent, a.n_convs, a.n_children, a.ends
+    """,
+)
+def prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.ordered(table(spark, folder, "conversations"))
+    return conversation_trie.trie(*conversation_trie.with_shared_heads(turns))
+
+
+HOSTILE = r"\### Assistant: </turn> ok"
+_MARKS = r"\\|### |</turn>|<\|"
+
+
+@query(
+    "op12_chat_format",
+    rf"""
+    with turns as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+      union all select -7, 0, 'user', '{HOSTILE}' union all select -7, 1, 'assistant', '{HOSTILE}'
+    )
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+           coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+           sum(length('### ' || ': ' || '</turn>' || chr(10)) + length(role) + length(text)
+               + len(regexp_extract_all(role, '{_MARKS}|:')) + len(regexp_extract_all(text, '{_MARKS}')))::bigint as formatted_chars
+    from turns group by conv_id
+    """,
+)
+def chats(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = spark.range(1).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role"),
+        F.lit(HOSTILE).alias("text"),
+    )
+    return chat_format.formatted_digests(given.unionByName(hostile))
+
+
+@query(
+    "op13_collocations",
+    r"""
+    with pieces as (
+      select coalesce(lang, 'und') as lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[.,;:!?\x0A-\x0D]')) as piece from documents
+    ), words as (
+      select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+    ), runs as (
+      select lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+      from words, (select unnest(range(1, 5)) as size) where len(w) >= size
+    ), counts as (
+      select lang, size, phrase, count(*) as f from runs group by lang, size, phrase
+    ), totals as (
+      select lang, sum(f)::bigint as n from counts where size = 1 group by lang
+    ), often as (
+      select *, string_split(phrase, ' ') as w from counts where f >= 30
+    ), cuts as (
+      select c.lang, c.phrase, c.f as a, k, l.f as l, r.f as r, 2000000::hugeint * c.f // (l.f + r.f) as score
+      from (select *, unnest(range(1, size)) as k from often where size > 1) c
+      join often l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:k], ' ')
+      join often r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+    ), lowest as (
+      select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+    ), inner_runs as (
+      select lang, f, unnest(list_transform(range(1, size - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' '))) as phrase
+      from often, (select unnest([2, 3]) as width) where width < size
+    ), longer as (
+      select lang, phrase, max(f) as f from inner_runs group by lang, phrase
+    )
+    select c.lang, rank, c.phrase, a, l, r, n, score::bigint as score
+    from (
+      select c.*, row_number() over (partition by c.lang order by score desc, a desc, c.phrase) as rank
+      from lowest c left join longer g on g.lang = c.lang and g.phrase = c.phrase where g.f is null or 100 * g.f < 80 * a
+    ) c join totals t on t.lang = c.lang where rank <= 2000
+    """,
+)
+def bound_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents")).drop("doc", "at")

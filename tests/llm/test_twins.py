@@ -12,7 +12,7 @@ from tests.llm.frames import SF
 @pytest.fixture(scope="module")
 def twin():
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
         connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     return connection
 
@@ -33,4 +33,4 @@ def test_query_equals_its_twin(spark, twin, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
