@@ -29,6 +29,9 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _CLASSES = {"lower": r"\p{Ll}+", "space": _SPACE, "mark": r"\p{P}+", "upper": r"\p{Lu}+", "digit": r"\p{N}+"}
 
 
+_PLACE = {name: i for i, name in enumerate(_CLASSES)}
+
+
 @dataclass
 class Reference:
     """A language's shares of the character classes, and of its common words among its words."""
@@ -53,7 +56,8 @@ def letter_words_of(text: Column) -> Column:
 def repeated_words(words: Column, run: int = RUN) -> Column:
     """How many words lie in a window of ``run`` words that the text holds twice or more.
 
-    Windows are told apart by 64-bit hashes of their words' hashes."""
+    Windows are told apart by 64-bit hashes of their words' hashes: a window's is made of those of two
+    shorter ones, so that each step looks at two numbers a word."""
 
     def covered(positions: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
@@ -80,26 +84,32 @@ def repeated_words(words: Column, run: int = RUN) -> Column:
             covered(let(placed, positions))
         )
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - run),
-            lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(run)]),
+    def windows(hashes: Column, made: int, left: int, body) -> Column:
+        """``body`` of the hashes of windows of made + left words, from those of ``made`` words."""
+        if not left:
+            return body(hashes)
+        step = min(made, left)
+        n = F.size(hashes) - step
+        pairs = F.zip_with(
+            F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b)
         )
+        return let(pairs, lambda h: windows(h, made + step, left - step, body))
 
-    found = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(windows(h), repeats))
+    found = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: windows(h, 1, run - 1, repeats))
     return F.when(F.size(words) < run, 0).otherwise(found).cast("bigint")
 
 
 def with_base(documents: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, the text (null: empty) as __text, its words as __words, and the base columns."""
+    """``keep``, the text (null: empty) as __text, its words as __words, its numbers of characters as __shape, and
+    the base columns."""
     rows = documents.select(*keep, text_or_empty(text).alias("__text"))
-    rows = rows.withColumn("__words", words_of(F.col("__text")))
+    rows = rows.withColumns({"__words": words_of(F.col("__text")), "__shape": shape(F.col("__text"))})
     lines = F.filter(F.split("__text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumns(
         {
             "n_words": F.size("__words").cast("bigint"),
-            "word_chars": F.length(F.regexp_replace("__text", _SPACE, "")).cast("bigint"),
-            "n_symbols": F.length(F.regexp_replace("__text", r"[^#*$%&|<>]+", "")).cast("bigint"),
+            "word_chars": (F.length("__text") - F.col("__shape")["classes"][_PLACE["space"]]).cast("bigint"),
+            "n_symbols": F.col("__shape")["symbols"].cast("bigint"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
             "n_repeat_words": repeated_words(F.col("__words")),
         }
@@ -110,8 +120,9 @@ def with_base(documents: DataFrame, text: str = "text", keep: tuple[str, ...] =
     return rows.withColumn("base_failed", failed)
 
 
-def class_counts(text: Column) -> Column:
-    """Array of the number of a text's characters in each class."""
+def shape(text: Column) -> Column:
+    """Of a text's characters: ``classes``, how many are in each class, and ``symbols``, how many are symbols.
+    Symbols are looked for in what is left without lower case, most of a text."""
 
     def step(rest: Column, patterns: list[str], before: list[Column]) -> Column:
         if not patterns:
@@ -121,34 +132,62 @@ def class_counts(text: Column) -> Column:
             lambda less: step(less, patterns[1:], [*before, F.length(rest) - F.length(less)]),
         )
 
-    return step(text, list(_CLASSES.values()), [])
+    lower, *others = _CLASSES.values()
+    return let(
+        F.regexp_replace(text, lower, ""),
+        lambda rest: F.struct(
+            step(rest, others, [F.length(text) - F.length(rest)]).alias("classes"),
+            F.length(F.regexp_replace(rest, r"[^#*$%&|<>]+", "")).alias("symbols"),
+        ),
+    )
 
 
 def references(documents: DataFrame, common_words: int = COMMON_WORDS) -> dict[str, Reference]:
     """References by language, over all documents that have a language and ``BASE_WORDS`` words.
 
-    Two aggregates; a row per language, and per language and common word, reach the driver."""
+    One aggregate over words, in which a document's numbers are a few entries more: a word is letters, so an entry
+    that begins with a digit is one of them, its place and its amount. Rows of the numbers and of the common words
+    of each language reach the driver."""
     rows = documents.where(F.col("lang").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text")
     )
-    words = letter_words_of(F.col("text"))
-    rows = rows.where(F.size(words) >= BASE_WORDS)
-    sizes = rows.select("lang", class_counts(F.col("text")).alias("n"), F.size(words).alias("words"))
-    names = range(len(_CLASSES) + 1)
-    sums = sizes.groupBy("lang").agg(F.sum("words").alias("words"), *[F.sum(F.col("n")[i]).alias(str(i)) for i in names])
-    classes, totals = {}, {}
-    for row in sums.collect():
-        classes[row["lang"]], totals[row["lang"]] = [float(row[str(i)]) for i in names], row["words"]
-    counts = rows.select("lang", F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    most = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    most = counts.withColumn("place", F.row_number().over(most)).where(F.col("place") <= common_words)
-    shares: dict[str, dict[str, float]] = {}
+    places = range(len(_CLASSES) + 1)
+
+    def entries(words: Column) -> Column:
+        numbers = let(
+            shape(F.col("text"))["classes"],
+            lambda n: F.array(
+                *[F.concat(F.lit(f"{i}"), n[i].cast("string")) for i in places],
+                F.concat(F.lit(f"{len(places)}"), F.size(words).cast("string")),
+            ),
+        )
+        return F.when(F.size(words) >= BASE_WORDS, F.concat(words, numbers))
+
+    found = rows.select("lang", F.explode(let(letter_words_of(F.col("text")), entries)).alias("entry"))
+    numeric = F.col("entry").between("0", f"{len(places)}~")
+    found = found.select(
+        "lang",
+        numeric.alias("numeric"),
+        F.when(numeric, F.substring("entry", 1, 1)).otherwise(F.col("entry")).alias("word"),
+        F.when(numeric, F.substring("entry", 2, 20).try_cast("bigint")).otherwise(F.lit(1)).alias("n"),
+    )
+    counts = found.groupBy("lang", "numeric", "word").agg(F.sum("n").alias("n"))
+    most = Window.partitionBy("lang", "numeric").orderBy(F.desc("n"), "word")
+    least = max(common_words, len(places) + 1)
+    most = counts.withColumn("place", F.row_number().over(most)).where(F.col("place") <= least)
+    amounts: dict[str, dict[int, int]] = {}
+    common: dict[str, dict[str, int]] = {}
     for row in most.orderBy("lang", "place").collect():
-        shares.setdefault(row["lang"], {})[row["word"]] = row["n"] / totals[row["lang"]]
-    return {
-        lang: Reference([c / sum(n) for c in n], shares.get(lang, {}))
-        for lang, n in sorted(classes.items())
-    }
+        if row["numeric"]:
+            amounts.setdefault(row["lang"], {})[int(row["word"])] = row["n"]
+        elif row["place"] <= common_words:
+            common.setdefault(row["lang"], {})[row["word"]] = row["n"]
+    references = {}
+    for lang, n in sorted(amounts.items()):
+        classes, total = [float(n[i]) for i in places], n[len(places)]
+        shares = {word: c / total for word, c in common.get(lang, {}).items()}
+        references[lang] = Reference([c / sum(classes) for c in classes], shares)
+    return references
 
 
 def part(p: Column, q: Column) -> Column:
@@ -228,7 +267,7 @@ def judge(
                 ),
             )
 
-        shares = let(class_counts(F.col("__text")), lambda n: F.transform(n, lambda c: c / F.length("__text")))
+        shares = F.transform(F.col("__shape")["classes"], lambda c: c / F.length("__text"))
         by_class = let(shares, lambda s: F.array_min(F.array(*[class_distance(s, r) for r in usable])))
         letter_words = letter_words_of(F.col("__text"))
         by_word = let(
@@ -240,4 +279,4 @@ def judge(
         rows = rows.withColumns({"char_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")})
     far = (F.col("char_distance") > char_distance) | (F.col("word_distance") > word_distance_most)
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
-    return rows.drop("__text", "__words")
+    return rows.drop("__text", "__words", "__shape")
