@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import text_or_empty
 from claimlens.llm.tree_bpe import Codec, rank_file
+from claimlens.operators.running import running_totals
 from claimlens.session import stage
 
 WINDOW = 2048
@@ -53,9 +54,19 @@ def terms_of(document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return terms[kept], counts[kept].astype(float)
 
 
+def terms_of_all(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``terms_of`` every document, one after the other: the document's place, the term, its count."""
+    lengths = [len(d) for d in documents]
+    owner = np.repeat(np.arange(len(documents), dtype=np.uint64), lengths)
+    ids = np.concatenate([np.empty(0, np.uint32), *documents]).astype(np.uint64)
+    found, counts = np.unique(owner << np.uint64(32) | ids, return_counts=True)
+    owner, terms = (found >> np.uint64(32)).astype(np.int64), (found & np.uint64(2**32 - 1)).astype(np.int64)
+    kept = terms != END_OF_TEXT
+    return owner[kept], terms[kept], counts[kept].astype(float)
+
+
 def statistics_of(documents: list[np.ndarray]) -> Statistics:
-    each = [terms_of(d)[0] for d in documents]
-    held = np.bincount(np.concatenate([np.empty(0, np.int64), *each]).astype(np.int64), minlength=1)
+    held = np.bincount(terms_of_all(documents)[1], minlength=1)
     return Statistics(len(documents), sum(map(len, documents)) / max(1, len(documents)), held)
 
 
@@ -66,11 +77,7 @@ class Index:
     def __init__(self, documents: list[np.ndarray], statistics: Statistics | None = None):
         statistics = statistics or statistics_of(documents)
         n = len(documents)
-        each = [terms_of(d) for d in documents]
-        sizes = [len(t) for t, _ in each]
-        terms = np.concatenate([np.empty(0, np.int64), *[t for t, _ in each]]).astype(np.int64)
-        counts = np.concatenate([np.empty(0), *[c for _, c in each]])
-        owner = np.repeat(np.arange(n), sizes)
+        owner, terms, counts = terms_of_all(documents)
         length = np.array([len(d) for d in documents], float)
         weight = statistics.weights(terms, counts, length[owner])
         found = np.bincount(terms, minlength=1)
@@ -179,25 +186,36 @@ def packed(
 
 def encoded(documents: DataFrame, key: str, text: str, shared) -> DataFrame:
     """(__key, __ids, __cost, __salt) of every row, written once: ids with ``END_OF_TEXT`` as bytes, what a
-    shard's size counts, and a number in [0, 1) that spreads rows with nothing to tell them apart."""
+    shard's size counts, and a number in [0, 1) that spreads rows with nothing to tell them apart. Each task adds
+    a row with what its documents add to the statistics, __held, and nothing else."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec, held, length, n, kind = Codec(shared.value), np.zeros(1, np.int64), 0, 0, None
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = [np.append(codec.encode(t), np.uint32(END_OF_TEXT)).astype("<u4") for t in texts]
+            ids = [np.append(codec.leaf(t), np.uint32(END_OF_TEXT)).astype("<u4") for t in texts]
+            found = np.bincount(terms_of_all(ids)[1])
+            longer = max(len(held), len(found))
+            held = np.pad(held, (0, longer - len(held))) + np.pad(found, (0, longer - len(found)))
+            length, n, kind = length + sum(map(len, ids)), n + len(ids), batch.schema.field(0).type
             cost = [len(t) + ROW_CHARS for t in texts]
-            yield pa.record_batch(
-                [batch.column(0), pa.array([_bytes(i) for i in ids], pa.binary()), pa.array(cost, pa.int64())],
-                ["__key", "__ids", "__cost"],
-            )
+            yield _coded(batch.column(0), [_bytes(i) for i in ids], cost, [None] * len(ids))
+        if n:
+            terms = np.flatnonzero(held)
+            sums = np.concatenate([[n, length], terms, held[terms]]).astype("<i8").tobytes()
+            yield _coded(pa.nulls(1, kind), [None], [None], [sums])
 
     rows = documents.select(F.col(key).alias("__key"), text_or_empty(text).alias("__text"))
     kind = documents.schema[key].dataType.simpleString()
-    rows = rows.mapInArrow(encode, f"__key {kind}, __ids binary, __cost bigint")
+    rows = rows.mapInArrow(encode, f"__key {kind}, __ids binary, __cost bigint, __held binary")
     return stage(rows.withColumn("__salt", F.rand(SALT_SEED)), "packing-ids")
 
 
+def _coded(keys: pa.Array, ids: list, cost: list, held: list) -> pa.RecordBatch:
+    columns = [keys, pa.array(ids, pa.binary()), pa.array(cost, pa.int64()), pa.array(held, pa.binary())]
+    return pa.record_batch(columns, ["__key", "__ids", "__cost", "__held"])
+
+
 def _bytes(ids: np.ndarray) -> bytes:
     """Two bytes an id where they suffice, else four; the first byte tells."""
     return b"\2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\4" + ids.tobytes()
@@ -207,35 +225,45 @@ def _ids(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype("<u4")
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    ids = np.concatenate([np.empty(0, np.int32), *parts]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+
+
 def corpus_statistics(rows: DataFrame) -> Statistics:
     """Of all rows of ``encoded``. One number per id of the vocabulary reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, length = np.zeros(1, np.int64), 0
         for batch in batches:
-            each = [_ids(d) for d in batch.column(0).to_pylist()]
-            found = np.bincount(np.concatenate([np.empty(0, np.int64), *[terms_of(d)[0] for d in each]]).astype(np.int64))
-            longer = max(len(held), len(found))
-            held = np.pad(held, (0, longer - len(held))) + np.pad(found, (0, longer - len(found)))
-            length += sum(map(len, each))
-        terms = np.flatnonzero(held)
-        yield pa.record_batch([pa.array(np.r_[-1, terms]), pa.array(np.r_[length, held[terms]])], ["term", "n"])
-
-    counts = rows.select("__ids").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+            for data in batch.column(0).to_pylist():
+                (n, length), rest = np.split(np.frombuffer(data, "<i8"), [2])
+                terms, held = np.split(rest, 2)
+                yield pa.record_batch(
+                    [pa.array(np.r_[-2, -1, terms]), pa.array(np.r_[n, length, held])], ["term", "n"]
+                )
+
+    sums = rows.where(F.col("__held").isNotNull()).select("__held")
+    counts = sums.mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     found = {r["term"]: r["n"] for r in counts.collect()}
-    total, n = found.pop(-1, 0), rows.count()
+    n, total = found.pop(-2, 0), found.pop(-1, 0)
     held = np.zeros(max(found, default=0) + 1, np.int64)
     held[list(found)] = list(found.values())
     return Statistics(n, total / max(1, n), held)
 
 
-def leading_terms(document: np.ndarray, statistics: Statistics, least: float) -> tuple[int, int]:
-    """A document's two strongest terms among those that ``least`` documents hold, or else among all; -1 for none."""
-    terms, counts = terms_of(document)
-    weight = statistics.weights(terms, counts, np.float64(len(document)))
+def leading_terms(documents: list[np.ndarray], statistics: Statistics, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's two strongest terms among those that ``least`` documents hold, or else among all; -1 for none."""
+    owner, terms, counts = terms_of_all(documents)
+    lengths = np.array([len(d) for d in documents], float)
+    weight = statistics.weights(terms, counts, lengths[owner])
     weight[statistics.held[terms] < least] -= 1e6
-    order = np.argsort(-weight, kind="stable")[:2]
-    first, second, *_ = *terms[order].tolist(), -1, -1
+    order = np.lexsort((terms, -weight, owner))
+    owner, terms = owner[order], terms[order]
+    place = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(documents)))[owner]
+    first, second = np.full(len(documents), -1), np.full(len(documents), -1)
+    first[owner[place == 0]] = terms[place == 0]
+    second[owner[place == 1]] = terms[place == 1]
     return first, second
 
 
@@ -244,20 +272,15 @@ def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int
     by side: those of a term too large for one are divided by their second terms, and those of both terms,
     where they are too many (copies among them), by their salt.
 
-    What the driver plans with are sums: per leading term, and per part of those that are divided, of which
-    there are a few for each shard."""
+    Sums per leading term, and per part of those that are divided, place the parts one after the other, by
+    running totals over ranges of them."""
     least = 0.5 * statistics.documents / shards
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [leading_terms(_ids(d), shared.value, least) for d in batch.column(1).to_pylist()]
+            first, second = leading_terms([_ids(d) for d in batch.column(1).to_pylist()], shared.value, least)
             yield pa.record_batch(
-                [
-                    *batch.columns,
-                    pa.array([p[0] for p in pairs], pa.int64()),
-                    pa.array([p[1] for p in pairs], pa.int64()),
-                ],
-                [*batch.schema.names, "__first", "__second"],
+                [*batch.columns, pa.array(first), pa.array(second)], [*batch.schema.names, "__first", "__second"]
             )
 
     kind = rows.schema["__key"].dataType.simpleString()
@@ -269,18 +292,18 @@ def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int
     part = shard_chars / 4
     divided = sums.groupBy("__first").agg(F.greatest(F.lit(1), F.ceil(2 * F.sum("__cost") / part)).alias("__parts"))
     divided = divided.withColumn("__parts", F.when(F.col("__parts") <= 2, 1).otherwise(F.col("__parts")))
-    divided = stage(divided, "packing-parts")
+    divided = stage(divided, "packing-parts")  # a row per id of the vocabulary at most
     in_part = F.pmod(F.xxhash64("__second"), F.col("__parts")).alias("__part")
     units = sums.join(F.broadcast(divided), "__first").groupBy("__first", in_part).agg(F.sum("__cost").alias("cost"))
-    places, at = [], 0.0
-    for u in units.orderBy("__first", "__part").collect():
-        # Rows of a unit lie between at and at + cost, by their salt; a small unit's lie at its middle.
-        spread = float(u["cost"]) if u["cost"] > part else 0.0
-        places.append((u["__first"], u["__part"], at + (0.0 if spread else u["cost"] / 2), spread))
-        at += u["cost"]
-    places = rows.sparkSession.createDataFrame(places, "__first bigint, __part bigint, __at double, __spread double")
+    units = units.select(F.struct("__first", "__part").alias("unit"), "cost")
+    places = running_totals(units, [], "unit", ["cost"])
+    # Rows of a unit lie between its place and the next one's, by their salt; a small unit's lie at its middle.
+    spread = F.when(F.col("cost") > part, F.col("cost")).otherwise(0)
+    middle = F.when(F.col("cost") > part, 0.0).otherwise(F.col("cost") / 2)
+    places = places.select("unit.__first", "unit.__part", (F.col("cost_before") + middle).alias("__at"), spread.alias("__spread"))
+    places = stage(places, "packing-places")
     led = led.join(F.broadcast(divided), "__first").withColumn("__part", in_part)
-    led = led.join(F.broadcast(places), ["__first", "__part"])
+    led = led.join(places, ["__first", "__part"])
     shard = F.floor((F.col("__at") + F.col("__salt") * F.col("__spread")) / shard_chars).cast("bigint")
     return led.select("__key", "__ids", shard.alias("__shard"))
 
@@ -304,6 +327,7 @@ def pack(
     rows = encoded(documents, key, text, context.broadcast(ranks or rank_file()))
     statistics = corpus_statistics(rows)
     shared = context.broadcast(statistics)
+    rows = rows.where(F.col("__held").isNull()).drop("__held")
     cost = rows.agg(F.sum("__cost")).first()[0] or 0
     shards = max(1, -(-cost // shard_chars))
     if shards == 1:
@@ -327,7 +351,7 @@ def pack(
                 "doc_tokens": pa.array([len(ids[p[0]]) for p in pieces], pa.int64()),
                 "sequence_id": pa.array([(shard << 32) + p[3] for p in pieces], pa.int64()),
                 "offset": pa.array([p[4] for p in pieces], pa.int64()),
-                "ids": pa.array([part.astype(np.int32) for part in parts], pa.list_(pa.int32())),
+                "ids": _lists(parts),
             }
         )
 
