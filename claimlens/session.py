@@ -63,12 +63,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def remove_staged(spark: SparkSession) -> int:
-    """Delete what this process has staged so far; frames that read it must be done with. Gives the number of paths."""
+def staged_paths(since: int = 0) -> list[str]:
+    """Paths handed out and not removed yet, from the ``since``-th on."""
+    return _handed_out[since:]
+
+
+def remove_staged(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete what this process has staged so far, or those of ``paths``; frames that read it must be done with.
+    Gives the number of paths."""
     removed = 0
-    while _handed_out:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
-        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for name in list(_handed_out if paths is None else paths):
+        if name in _handed_out:
+            _handed_out.remove(name)
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return removed
 
 
