@@ -22,6 +22,7 @@ from claimlens.llm.common import held_out, text_or_empty
 # dictionary at 96 KB or so, whatever the corpus holds. Everything else sees whole texts.
 TEXTS_PER_LANGUAGE = 96
 CHARS_PER_TEXT = 1000
+RANKED = 16
 LEVEL = 9
 # A text is encoded in blocks of so many bytes, so that the dictionary, and not what the text says
 # earlier, is what a long text is measured against.
@@ -40,6 +41,9 @@ def letters(text: str) -> str:
     """What is encoded: a text's words in lower case, a word said again at once left out. Capitals,
     marks and repetition say nothing of the language, but change sizes."""
     words = _WORD.findall(text.lower())
+    # Signs that count as alphanumeric and are no letters (superscripts, fractions, Roman numerals) divide words.
+    if not all(map(str.isalpha, words)):
+        words = "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
     kept = [word for i, word in enumerate(words) if i == 0 or word != words[i - 1]]
     return f" {' '.join(kept)} " if kept else ""
 
@@ -55,9 +59,18 @@ def fit(
     rows give the same dictionaries however they are partitioned. Only the chosen texts' first
     ``chars_per_text`` characters reach the driver.
     """
-    labelled = documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+    known = documents.where(~held_out() & F.col("lang").isNotNull())
+    sizes = known.groupBy(F.col("lang").cast("string").alias("lang")).count().collect()  # a row per language
+    labelled = known.where(F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("hash"), F.col("text").alias("text")
     )
+    # Several times as many rows as wanted lie below a language's bound; only they are ranked, in one task.
+    for_all = 2**63 - 1
+    shares = {r["lang"]: min(1.0, RANKED * texts_per_language / r["count"]) for r in sizes}
+    bounds = {lang: for_all if s == 1.0 else int(-(2**63) + s * 2**64) for lang, s in shares.items()}
+    if bounds:
+        bound = F.try_element_at(F.create_map(*[F.lit(x) for item in bounds.items() for x in item]), F.col("lang"))
+        labelled = labelled.where(F.col("hash") <= bound)
     lowest = Window.partitionBy("lang").orderBy("hash")
     chosen = (
         labelled.select("lang", "hash").distinct().withColumn("place", F.row_number().over(lowest))

@@ -1,3 +1,7 @@
+import unicodedata
+
+import zstandard
+
 from claimlens.llm import compression_language as language
 from claimlens.llm import queries
 from tests.llm.frames import AWKWARD, SF, documents, held_out
@@ -47,6 +51,37 @@ def test_predictions_and_awkward_rows(spark):
     assert language.fit(frame.limit(0)) == {}
 
 
+def plain(text, dictionaries):
+    """(lang_pred, rejected) by category, one encoder at a time."""
+    said = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower()).split()
+    said = [w for i, w in enumerate(said) if not i or w != said[i - 1]]
+    if not said:
+        return "und", True
+    raw = f" {' '.join(said)} ".encode()
+    while len(raw) < 256:
+        raw = raw + f" {' '.join(said)} ".encode()
+    sizes = []
+    for lang in sorted(dictionaries):
+        content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        encoder = zstandard.ZstdCompressor(level=9, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
+        blocks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
+        sizes.append((sum(len(encoder.compress(b)) for b in blocks), lang))
+    (first, lang), (second, _) = sorted(sizes)[:2]
+    return lang, second - first < 0.005 * first
+
+
+def test_equals_a_plain_prediction(spark):
+    """Predictions and rejections of whole texts, by another reading of letters and another way to encode."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = language.fit(docs)
+    odd = ["²", "½ ① Ⅷ", "x²y", "Ⅷ und ½ der", "ªº", "__der__", "3rd 4th", "e\u0301te\u0301", "中文和字母", "der²die"]
+    frame = docs.select("doc_id", "text").union(documents(spark, [(-i, t) for i, t in enumerate(odd, 1)]).select("doc_id", "text"))
+    rows = language.predict(frame, known).collect()
+    assert [(r.lang_pred, r.rejected) for r in rows] == [plain(r.text, known) for r in rows]
+    by = {r.doc_id: r.lang_pred for r in rows}
+    assert by[-1] == by[-2] == "und" and by[-3] != "und"
+
+
 def test_ties_and_margins():
     assert language.decide([90, 90, 95], ["b", "a", "c"])[0::2] == ("a", True)
     assert language.decide([1000, 1100], ["a", "b"])[0::2] == ("a", False)
