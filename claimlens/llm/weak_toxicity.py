@@ -66,8 +66,8 @@ VOTERS = WORD_LISTS + len(BEGINNINGS) + PATTERNS
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(text, toxic): training rows with a label, at most ``per_class`` of each; a document with
-    several labels counts as toxic if one of them says so."""
+    """(text, toxic): training documents with a label, at most ``per_class`` of each; a document with
+    several labels counts as toxic if one of them says so, one with several rows has one text."""
     rows = labels.where(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = rows.withColumn("hash", F.xxhash64("doc_id"))
@@ -80,9 +80,12 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) ->
     lowest = Window.partitionBy("toxic").orderBy("hash", "doc_id")
     rows = rows.where(low).withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_class)
     # Bounded by 2 * per_class rows of two numbers.
-    return documents.select("doc_id", text_or_empty().alias("text")).join(
+    found = documents.select("doc_id", text_or_empty().alias("text")).join(
         F.broadcast(rows.select("doc_id", "toxic")), "doc_id"
-    ).select("text", "toxic")
+    )
+    # Of the rows of one doc_id the text of lowest hash, so that the sample has no more rows than labels.
+    lowest = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return found.groupBy("doc_id", "toxic").agg(lowest).select("text", "toxic")
 
 
 def entries_of(words: list[str]) -> dict[tuple[int, str], int]:

@@ -66,6 +66,37 @@ def test_awkward_rows(spark):
     assert toxicity.predict(frame.limit(0), model).collect() == []
 
 
+def plain_score(model, text):
+    """The classifier's score by counting words one by one."""
+    words = [w for w in "".join(c if c.isalnum() and not c.isdecimal() else " " for c in text).split()]
+    n = max(1, len(words))
+    hits = [sum(w.lower() in entries for w in words) for entries in model.lists.words]
+    hits += [sum(w.lower()[:k] in entries for w in words) for k, entries in zip(toxicity.BEGINNINGS, model.lists.beginnings, strict=True)]
+    x = [*np.log1p(hits), *(float(h > 0) for h in hits)]
+    x += [sum(len(w) > 1 and w.isupper() for w in words) / n, text.count("!") / max(1, len(text)), float(bool(words))]
+    return 1 / (1 + np.exp(-(np.dot(model.weights[:-1], x) + model.weights[-1])))
+
+
+def test_equals_a_plain_score(spark):
+    rows, labels = corpus()
+    model = toxicity.fit(*tables(spark, rows, labels))
+    texts = [t for _, t, _, _ in rows[:80]] + ["", "GRUBLIK!!! you", "!", "a1b grublik2 snarfwat", "Plonkish " * 3000, "..."]
+    found = toxicity.predict(documents(spark, list(enumerate(texts))), model).collect()
+    for r in found:
+        score = plain_score(model, texts[r.doc_id])
+        assert abs(r.score - score) < 1e-9 and r.predicted == int(score >= 0.7)
+
+
+def test_a_doc_id_of_many_rows_is_one_document(spark):
+    """Neither lists nor classifier change when a labelled doc_id has many rows more."""
+    rows, labels = corpus()
+    first = next(i for i, _, bad in labels if bad and not held_out(i))
+    more = [(first, f"{rows[first][1]} {i}" if i % 2 else rows[first][1], "en", "s") for i in range(400)]
+    docs, marks = tables(spark, rows + more, labels)
+    assert toxicity.labelled_sample(docs, marks, 10_000).count() == sum(not held_out(i) for i, _, _ in labels)
+    assert toxicity.draw_up_lists(toxicity.labelled_sample(docs, marks, 10_000))[0].words
+
+
 def test_no_labels_and_no_documents(spark):
     docs, marks = tables(spark, *corpus(30))
     for model in (toxicity.fit(docs, marks.limit(0)), toxicity.fit(docs.limit(0), marks)):
