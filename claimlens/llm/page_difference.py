@@ -9,10 +9,12 @@ an article that is published twice is not deleted, and what stands outside is no
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +44,41 @@ INLINE = frozenset(
 # An element that ends an open one of the kinds named, if nothing but inline elements lies between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
+# A name that begins or ends with one of these says something of the page around it: it is no mark.
+MODIFIERS = frozenset("with without has no is not show hide js".split())
+STATES = frozenset("visible hidden open opened closed collapsed expanded active enabled disabled".split())
+# Zones of a block: 0 none, MAIN in a main element, HEADING a first heading there, from ARTICLE on the articles.
+MAIN, HEADING, ARTICLE = 1, 2, 3
+TEASER = 0.25  # an article of less than this share of the longest one's characters is none
+# Bits of a table of common lengths that is held at once.
+TABLE_BITS = 1 << 23
+
 _WORDS = re.compile(r"[a-z0-9]+")
+_ARTICLES = re.compile(r"<article[\s/>]", re.IGNORECASE)
+# Why an element is left out: its name or that it is hidden, or the words in its attributes.
+BY_MARK, BY_KIND = 1, 2
+
+
+def marked(names: str) -> bool:
+    """Whether one of the names, as they stand in a class, id or role, has a marked word."""
+    for name in names.split():
+        words = _WORDS.findall(name)
+        if words and words[0] not in MODIFIERS and words[-1] not in STATES and not MARKS.isdisjoint(words):
+            return True
+    return False
 
 
 class Blocks(HTMLParser):
-    """The blocks of a page in order, as (text, zone): 2 in an article, 1 in a main element, else 0.
-    Blocks of elements that are left out do not appear."""
+    """The blocks of a page in order, as (text, zone). Blocks of elements that are left out do not appear. A mark
+    on an element does not leave out a main element inside it, nor the page's only article."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, int]] = []
-        self._open: list[tuple[str, bool, int]] = []  # (name, left out, zone)
+        self._open: list[tuple[str, int, int]] = []  # (name, why it is left out, zone)
+        self._names: Counter[str] = Counter()
         self._text: list[str] = []
+        self._articles = self._seen = 0
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -63,21 +88,30 @@ class Blocks(HTMLParser):
             return
         out, zone = self._state()
         values = {k: (v or "").lower() for k, v in attrs}
-        if tag in ("article", "main", "body", "html"):
-            zone = max(zone, {"article": 2, "main": 1}.get(tag, 0))
-            marked = set(_WORDS.findall(f"{values.get('class', '')} {values.get('id', '')}"))
-            out = out or (tag == "article" and bool(marked & {"comment", "comments", "reply"}))
-        else:
-            if values.get("role") == "main":
-                zone = max(zone, 1)
-            named = " ".join(values.get(k, "") for k in ("class", "id", "role"))
+        if tag == "main" or values.get("role") == "main":
+            out, zone = (0 if out == BY_MARK else out), max(zone, MAIN)
+        elif tag == "article":
+            own = set(_WORDS.findall(f"{values.get('class', '')} {values.get('id', '')}"))
+            if own & {"comment", "comments", "reply"}:
+                out = max(out, BY_MARK)
+            elif out == BY_MARK and self._articles == 1:
+                out = 0
+            if zone < ARTICLE:
+                zone = ARTICLE + self._seen
+                self._seen += 1
+        elif tag not in ("body", "html"):
             hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
             # A heading element within an article is the article's own.
-            header = tag == "header" and zone < 2
-            out = out or tag in LEFT_OUT or header or hidden or bool(set(_WORDS.findall(named)) & MARKS)
+            if tag in LEFT_OUT or hidden or (tag == "header" and zone < ARTICLE):
+                out = BY_KIND
+            elif marked(" ".join(values.get(k, "") for k in ("class", "id", "role"))):
+                out = max(out, BY_MARK)
+            if tag == "h1" and zone == MAIN:
+                zone = HEADING
         if out != self._state()[0]:
             self._close()
         self._open.append((tag, out, zone))
+        self._names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -87,11 +121,13 @@ class Blocks(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self._close()
+        if not self._names[tag]:
+            return
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] == tag:
                 if any(o[1] != self._open[i][1] for o in self._open[i:]) or self._open[i][1]:
                     self._close()
-                del self._open[i:]
+                self._end_from(i)
                 return
 
     def handle_data(self, data):
@@ -99,19 +135,24 @@ class Blocks(HTMLParser):
             self._text.append(data)
 
     def finished(self, html: str) -> list[tuple[str, int]]:
+        self._articles = len(_ARTICLES.findall(html))
         self.feed(html)
         self.close()
         self._close()
         return self.blocks
 
-    def _state(self) -> tuple[bool, int]:
-        return self._open[-1][1:] if self._open else (False, 0)
+    def _state(self) -> tuple[int, int]:
+        return self._open[-1][1:] if self._open else (0, 0)
+
+    def _end_from(self, i: int) -> None:
+        self._names.subtract(name for name, _, _ in self._open[i:])
+        del self._open[i:]
 
     def _end_open(self, kinds: set[str]) -> None:
         for i in range(len(self._open) - 1, -1, -1):
             name = self._open[i][0]
             if name in kinds:
-                del self._open[i:]
+                self._end_from(i)
                 return
             if name not in INLINE:
                 return
@@ -124,8 +165,8 @@ class Blocks(HTMLParser):
 
 
 def common_subsequence(a: list, b: list) -> set[int]:
-    """Places in ``a`` of a longest common subsequence of both. A column of the table of lengths is an
-    integer whose bit i is 0 where the length grows from i to i + 1 items of ``a``."""
+    """Places in ``a`` of a longest common subsequence of both. Memory grows with the sum of their lengths: a table
+    of more than ``TABLE_BITS`` is divided where an optimal path crosses the middle of ``b``."""
     start, end = 0, 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -134,21 +175,50 @@ def common_subsequence(a: list, b: list) -> set[int]:
     found = {*range(start), *range(len(a) - end, len(a))}
     shared = set(a[start : len(a) - end]) & set(b[start : len(b) - end])
     places = [i for i in range(start, len(a) - end) if a[i] in shared]
-    x, y = [a[i] for i in places], [v for v in b[start : len(b) - end] if v in shared]
+    left = [([a[i] for i in places], [v for v in b[start : len(b) - end] if v in shared], 0)]
+    while left:
+        x, y, at = left.pop()
+        if len(x) * len(y) <= TABLE_BITS or len(y) < 2:
+            found.update(places[at + i] for i in _traced(x, y))
+        else:
+            middle = len(y) // 2
+            before, after = _lengths(x, y[:middle]), _lengths(x[::-1], y[:middle - 1 : -1])
+            cut = int(np.argmax(before + after[::-1]))
+            left += [(x[:cut], y[:middle], at), (x[cut:], y[middle:], at + cut)]
+    return found
+
+
+def _columns(x: list, y: list) -> Iterator[int]:
+    """Columns of the table of lengths, one for each item of ``y``: integers whose bit i is 0 where the length
+    grows from i to i + 1 items of ``x``."""
     at: dict = {}
     for i, v in enumerate(x):
         at[v] = at.get(v, 0) | 1 << i
     full = (1 << len(x)) - 1
-    column, columns = full, []
+    column = full
     for v in y:
-        held = column & at[v]
-        column = ((column + held) | (column & ~at[v])) & full
-        columns.append(column)
+        here = at.get(v, 0)
+        column = ((column + (column & here)) | (column & ~here)) & full
+        yield column
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Of each beginning of ``x``: how long its longest common subsequence with ``y`` is."""
+    column = (1 << len(x)) - 1
+    for column in _columns(x, y):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(column.to_bytes(len(x) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.r_[0, np.cumsum(1 - bits[: len(x)].astype(np.int64))]
+
+
+def _traced(x: list, y: list) -> list[int]:
+    columns = list(_columns(x, y))
+    found = []
     i, j = len(x), len(y)
     while i and j:
         if x[i - 1] == y[j - 1]:
             i, j = i - 1, j - 1
-            found.add(places[i])
+            found.append(i)
         elif columns[j - 1] >> (i - 1) & 1:
             i -= 1
         else:
@@ -157,14 +227,23 @@ def common_subsequence(a: list, b: list) -> set[int]:
 
 
 def main_text(blocks: list[tuple[str, int]], keys: list[int], neighbour: list[int]) -> str:
-    """Blocks that are not shared with the neighbour, or that a mark says are the article's; where there
-    is a mark, no others. If all are shared the pages are copies, and the pair tells nothing."""
-    shared = common_subsequence(keys, neighbour)
-    if len(shared) == len(blocks):
-        shared = set()
-    zone = max((z for _, z in blocks), default=0)
-    kept = [t for i, (t, z) in enumerate(blocks) if z == zone and (zone or i not in shared)]
-    return " ".join(kept)
+    """What a mark says is the article's, with the first heading of a main element around it; without a mark, the
+    blocks that are not shared with the neighbour. If all are shared the pages are copies, and the pair tells
+    nothing. Of several articles, those of less than ``TEASER`` of the longest one's text are left out."""
+    sizes: Counter[int] = Counter()
+    for text, zone in blocks:
+        if zone >= ARTICLE:
+            sizes[zone] += len(text)
+    if sizes:
+        zones = {z for z, n in sizes.items() if n >= TEASER * max(sizes.values())} | {HEADING}
+    elif any(z for _, z in blocks):
+        zones = {MAIN, HEADING}
+    else:
+        shared = common_subsequence(keys, neighbour)
+        if len(shared) == len(blocks):
+            shared = set()
+        return " ".join(t for i, (t, _) in enumerate(blocks) if i not in shared)
+    return " ".join(t for t, z in blocks if z in zones)
 
 
 def block_key(text: str) -> int:
@@ -217,7 +296,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of every page.
 
     A null html is empty, and gives an empty text. A page without a URL or host has no neighbour; nor has
-    the only page of a host. Repeated rows are pages of their own, and neighbours of each other. An
+    the only page of a host. Repeated rows are pages of their own, and neighbours of each other. Of two pages as
+    near, the one before in the order of paths is the neighbour. A page of any length is read whole. An
     empty table gives no rows; other columns are not read.
 
     Pages are numbered in the order of host and path without bringing a host together, and a page meets

@@ -33,6 +33,76 @@ def test_common_subsequence():
         assert len(found) == table[-1][-1] and all(a[i] in rest for i in found)
 
 
+def test_common_subsequence_in_little_memory(monkeypatch):
+    """Tables that are divided give subsequences as long."""
+    rng = random.Random(4)
+    pairs = [tuple([rng.randint(0, 5) for _ in range(rng.randint(0, 40))] for _ in range(2)) for _ in range(300)]
+    lengths = [len(pages.common_subsequence(a, b)) for a, b in pairs]
+    monkeypatch.setattr(pages, "TABLE_BITS", 20)
+    for (a, b), n in zip(pairs, lengths, strict=True):
+        found = sorted(pages.common_subsequence(a, b))
+        rest = iter(b)
+        assert len(found) == n and all(a[i] in rest for i in found)
+    long = [rng.randrange(2000) for _ in range(6000)]
+    monkeypatch.setattr(pages, "TABLE_BITS", 1 << 20)
+    assert len(pages.common_subsequence(long, long[3000:] + long[:3000])) >= 3000
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<div class="layout with-sidebar"><article><p>a</article><div class="sidebar">s</div></div>', "a"),
+        ('<div class="hfeed site nav-visible"><main><article>a</article></main></div>', "a"),
+        ('<div class="promo page"><main><p>a</main><p>x</div>', "a"),
+        ('<div class="banner"><article>a</article><p>x</div><p>y', "a"),
+        ("<main><h1>Title</h1><p>by me<article><p>a</article></main>", "Title a"),
+        ("<main><h1>Title</h1><p>a</main><p>x", "Title a"),
+        ("<article>" + "a " * 40 + "</article><article>teaser</article>", " ".join("a" * 40)),
+        ("<article>one two</article><article>three</article>", "one two three"),
+        ("<article>a</article><div class=related><article>b</article></div>", "a"),
+        ("<article>a<div class=comments><article class=comment>b</article></div></article>", "a"),
+        ("<nav><main>x</main></nav><p>y", "y"),
+        ("<main>m</main><div class='no-comments'>x</div>", "m"),
+    ],
+)
+def test_marks(spark, html, text):
+    blocks = pages.Blocks().finished(html)
+    assert pages.main_text(blocks, [pages.block_key(t) for t, _ in blocks], []) == text
+
+
+def test_many_stray_end_tags_and_deep_pages():
+    html = "<div>" * 20_000 + "x" + "</span>" * 20_000 + "</div>" * 20_000 + "<p>y"
+    assert block_text(html) == "x y"
+
+
+def test_pairs_are_nearest_by_path(spark):
+    """Each page's neighbour is one of its host whose path shares the longest beginning, the one before if two do."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        path = "/".join(rng.choice(["a", "ab", "b", "news", "x1"]) for _ in range(rng.randint(1, 4)))
+        rows.append((i, f"http://{rng.choice(['p', 'q', 'r'])}.example/{path}/{i}", [f"k{rng.randrange(12)}" for _ in range(rng.randint(1, 8))]))
+    found = extract(spark, [(i, url, "".join(f"<p>{b}</p>" for b in blocks)) for i, url, blocks in rows])
+
+    def shared(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    place = {i: (url.split("/")[2], url.partition(".example")[2], i) for i, url, _ in rows}
+    blocks = {i: b for i, _, b in rows}
+    for i, key in place.items():
+        others = [k for k in place.values() if k[0] == key[0] and k != key]
+        best = max((shared(key[1], k[1]) for k in others), default=None)
+        near = [k for k in sorted(others) if shared(key[1], k[1]) == best]
+        before, after = [k for k in near if k < key], [k for k in near if k > key]
+        other = before[-1:] or after[:1]
+        gone = pages.common_subsequence(blocks[i], blocks[other[0][2]]) if other else set()
+        gone = set() if len(gone) == len(blocks[i]) else gone
+        assert len(found[i].split()) == len(blocks[i]) - len(gone)
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
