@@ -57,10 +57,13 @@ def terms_of(document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def terms_of_all(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``terms_of`` every document, one after the other: the document's place, the term, its count."""
     lengths = [len(d) for d in documents]
-    owner = np.repeat(np.arange(len(documents), dtype=np.uint64), lengths)
-    ids = np.concatenate([np.empty(0, np.uint32), *documents]).astype(np.uint64)
-    found, counts = np.unique(owner << np.uint64(32) | ids, return_counts=True)
-    owner, terms = (found >> np.uint64(32)).astype(np.int64), (found & np.uint64(2**32 - 1)).astype(np.int64)
+    ids = np.concatenate([np.empty(0, np.uint32), *documents])
+    # Place and id in one number, a short one where they fit: one sort puts all terms in order.
+    short = len(documents) <= 1 << 16 and ids.max(initial=0) < 1 << 16
+    kind, bits = (np.uint32, 16) if short else (np.uint64, 32)
+    owner = np.repeat(np.arange(len(documents), dtype=kind), lengths)
+    found, counts = np.unique(owner << kind(bits) | ids.astype(kind), return_counts=True)
+    owner, terms = (found >> kind(bits)).astype(np.int64), (found & kind((1 << bits) - 1)).astype(np.int64)
     kept = terms != END_OF_TEXT
     return owner[kept], terms[kept], counts[kept].astype(float)
 
@@ -258,15 +261,24 @@ def leading_terms(documents: list[np.ndarray], statistics: Statistics, least: fl
     lengths = np.array([len(d) for d in documents], float)
     weight = statistics.weights(terms, counts, lengths[owner])
     weight[statistics.held[terms] < least] -= 1e6
-    order = np.lexsort((terms, -weight, owner))
-    owner, terms = owner[order], terms[order]
-    place = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(documents)))[owner]
     first, second = np.full(len(documents), -1), np.full(len(documents), -1)
-    first[owner[place == 0]] = terms[place == 0]
-    second[owner[place == 1]] = terms[place == 1]
+    for strongest in (first, second):
+        places = _greatest(owner, weight)
+        strongest[owner[places]] = terms[places]
+        owner, terms, weight = (np.delete(x, places) for x in (owner, terms, weight))
     return first, second
 
 
+def _greatest(owner: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Where each owner's greatest weight stands, the first of equal ones; owners are in order."""
+    if not len(owner):
+        return np.empty(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    most = np.repeat(np.maximum.reduceat(weight, starts), np.diff(starts, append=len(owner)))
+    places = np.flatnonzero(weight == most)
+    return places[np.r_[True, owner[places][1:] != owner[places][:-1]]]
+
+
 def dealt(rows: DataFrame, statistics: Statistics, shards: int, shard_chars: int, shared) -> DataFrame:
     """``encoded`` rows with their __shard. Documents of one leading term lie in one shard or in shards side
     by side: those of a term too large for one are divided by their second terms, and those of both terms,

@@ -81,6 +81,24 @@ def test_neighbours_share_terms():
     assert sum(len(t) == 1 for t in together.values()) >= len(together) - 2
 
 
+@pytest.mark.parametrize("largest", [60, 70_000])
+def test_leading_terms_of_a_batch(largest):
+    """The two strongest terms of every document, as found one document at a time."""
+    rng = np.random.default_rng(largest)
+    docs = [rng.integers(0, largest, rng.integers(0, 40)).astype(np.uint32) for _ in range(200)]
+    docs += [np.array([1], np.uint32), np.array([7, 7, 1], np.uint32), np.empty(0, np.uint32)]
+    statistics = packing.statistics_of(docs)
+    for least in (0, 3):
+        expected = []
+        for d in docs:
+            terms, counts = packing.terms_of(d)
+            weight = statistics.weights(terms, counts, np.float64(len(d)))
+            weight[statistics.held[terms] < least] -= 1e6
+            best = sorted(zip(-weight, terms.tolist(), strict=True))
+            expected.append(tuple([t for _, t in best] + [-1, -1])[:2])
+        assert list(zip(*(x.tolist() for x in packing.leading_terms(docs, statistics, least)), strict=True)) == expected
+
+
 def test_scores_are_bm25():
     docs = [np.array(d, np.uint32) for d in ([5, 5, 7], [5, 8, 8, 8], [9], [7, 9])]
     n, mean = 4, 10 / 4
