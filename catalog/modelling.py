@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import SINCE, UNTIL, query, warehouse_query
@@ -370,6 +371,31 @@ def ml7(wh):
     return anomaly.inspection_series(result)
 
 
+_SHOWN = ["valorprestacionclp", "costounitarioclp"]
+
+
+@warehouse_query(
+    "ml7_inspection_of_two_features",
+    f"""with {_ROWS}, m as (
+            select avg({_SHOWN[0]}) as ma, stddev_pop({_SHOWN[0]}) as sa, avg({_SHOWN[1]}) as mb, stddev_pop({_SHOWN[1]}) as sb,
+                   sign(corr({_SHOWN[0]}, {_SHOWN[1]})) as lado from filas
+        ), puntajes as (
+            select split_part(uniqueid, '_', 2)::bigint as registro,
+                   round(abs(({_SHOWN[0]} - ma) / sa - lado * ({_SHOWN[1]} - mb) / sb) / sqrt(2), 6) as anomalyscore,
+                   {', '.join(anomaly.HOVER)} from filas, m
+        )
+        select *, row_number() over (order by anomalyscore desc, registro) as puesto,
+               'registro,anomalyscore,{','.join(anomaly.HOVER)}' as columnas from puntajes""",
+)
+def ml7_two(wh):
+    """The series to inspect: record numbers, the score of two features (one component: a closed form), what is
+    shown beside it, the columns' order and the records' rank."""
+    result, _ = anomaly.score_rows(prepared(wh).frame, _SHOWN, threshold=0.5)
+    series = anomaly.inspection_series(result.withColumn("anomalyscore", F.round("anomalyscore", 6)))
+    rank = F.row_number().over(Window.orderBy(F.desc("anomalyscore"), "registro")).cast("bigint")
+    return series.withColumns({"puesto": rank, "columnas": F.lit(",".join(series.columns))})
+
+
 @warehouse_query(
     "ml7_record_numbers",
     f"with {_ROWS} select uniqueid, row_number() over (order by uniqueid) - 1 as registro, valorpagoclp from filas",
@@ -452,6 +478,50 @@ def ml8_tree(spark, folder):
     return _estimate(spark, folder, model="dtree", **_NET).predictions
 
 
+_STATED = f"""with {_LINES}, known as (select *, l_orderkey % 10 = 0 as apartada from lineas where l_linenumber <> 7)"""
+
+
+@query(
+    "ml8_tree_of_one_cut",
+    f"""{_STATED}, v as (
+            select precio as x, count(*) as n, sum(neto) as s, sum(neto * neto) as q from known where not apartada group by precio
+        ), r as (
+            select x, lead(x) over (order by x) as y, sum(n) over (order by x) as n, sum(s) over (order by x) as s,
+                   sum(n) over () as en, sum(s) over () as es, sum(q) over () as eq from v
+        ), c as (
+            select (x + y) / 2 as corte, s / n as bajo, (es - s) / (en - n) as alto from r where y is not null
+            order by round((s - n * es / en) * (s - n * es / en) * en / (n * (en - n)) / (eq - es * es / en), 9) desc, corte limit 1
+        ), e as (
+            select sqrt(avg((neto - case when precio > corte then alto else bajo end)
+                            * (neto - case when precio > corte then alto else bajo end))) as rmse from known, c where apartada
+        )
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(case when precio > corte then alto else bajo end, 2) as pred,
+               round(rmse, 2) as rmse from lineas, c, e where l_linenumber = 7""",
+)
+def ml8_one_cut(spark, folder):
+    """A tree of depth 1 on a predictor of many values: the best of all cuts, its two means and the error."""
+    how = {"model": "dtree", "depth": 1, "held_out": F.col("l_orderkey") % 10 == 0}
+    estimate = _estimate(spark, folder, target="neto", predictors="precio", **how)
+    return estimate.predictions.select(
+        *_IMPUTE_KEYS, F.round("pred", 2).alias("pred"), F.lit(round(estimate.metric, 2)).alias("rmse")
+    )
+
+
+@query(
+    "ml8_tree_until_pure",
+    f"""with {_LINES} select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+               (l_partkey % 200 > 117)::int * 10 + l_partkey % 200 % 2 * 3.0::double as pred, 0.0::double as rmse
+        from lineas where l_linenumber = 7""",
+)
+def ml8_pure(spark, folder):
+    """A step and a parity over 200 values: only a tree with a cut between any two of them is right everywhere."""
+    value = F.col("l_partkey") % 200
+    exact = F.when(value > 117, 10).otherwise(0) + value % 2 * 3
+    rows = line_frame(spark, folder).withColumns({"valor": value, "total": F.when(F.col("l_linenumber") != 7, exact)})
+    estimate = impute.estimate_missing(rows, "total", "valor", model="dtree", keys=_IMPUTE_KEYS)
+    return estimate.predictions.withColumn("rmse", F.lit(estimate.metric))
+
+
 @query(
     "ml9_rows_to_estimate",
     "select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_linenumber = 7",
@@ -506,6 +576,21 @@ def ml11(lineitem):
     return lineitem.sparkSession.createDataFrame([(impute.auc(predicted),)], "auc double")
 
 
+@source_query(
+    "ml11_roc_auc_of_many_scores",
+    "lineitem",
+    """with r as (select case when l_discount > 0.04 and l_extendedprice < 70000 then 1 else 0 end as y,
+                        rank() over (order by l_extendedprice) + (count(*) over (partition by l_extendedprice) - 1) / 2.0 as puesto
+                 from lineitem)
+       select round((sum(puesto) filter (where y = 1) - count(*) filter (where y = 1) * (count(*) filter (where y = 1) + 1) / 2.0)
+              / (count(*) filter (where y = 1) * count(*) filter (where y = 0)::double), 4) as auc from r""",
+)
+def ml11_many(lineitem):
+    rare = (F.col("l_discount") > 0.04) & (F.col("l_extendedprice") < 70000)
+    predicted = lineitem.select(rare.cast("double").alias("label"), F.col("l_extendedprice").alias("rawPrediction"))
+    return lineitem.sparkSession.createDataFrame([(impute.auc(predicted),)], "auc double")
+
+
 @query("ml12_estimate_class_and_probability")
 def ml12(spark, folder):
     return _estimate(spark, folder, **_DEAR).predictions

@@ -3,31 +3,30 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 from typing import Any
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import r4
 from claimlens.functions.text import named, quoted
+from claimlens.operators import tree
 from claimlens.operators.anomaly import VECTOR, assemble, fit_scaling, standardize
 from claimlens.operators.profile import is_missing
+from claimlens.operators.running import running_totals
 from claimlens.session import stage
 
 METHODS = ["regress", "clasif"]
 MODELS = ["lreg", "dtree", "forest", "svm"]
 SPLIT_STEPS = 1_000_000
-TREE_DEPTH = 30  # the library's maximum: trees grow until their leaves are pure
+FOREST_DEPTH = 30  # the library's maximum
+FOREST_CUTS = 256  # a forest's trees look at so many cuts of a predictor; a single tree looks at all
 TREES = 100
 LABEL, HELD_OUT = "__label", "__held_out"  # beside the data's columns
 
@@ -54,11 +53,9 @@ def _regressor(model: str, seed: int, depth: int, trees: int):
     common = {"featuresCol": VECTOR, "labelCol": LABEL}
     if model == "lreg":
         return LinearRegression(**common)
-    if model == "dtree":
-        return DecisionTreeRegressor(maxDepth=depth, seed=seed, **common)
     if model == "forest":
         return RandomForestRegressor(
-            maxDepth=depth, numTrees=trees, featureSubsetStrategy="all", seed=seed, **common
+            maxDepth=depth, numTrees=trees, featureSubsetStrategy="all", maxBins=FOREST_CUTS, seed=seed, **common
         )
     raise ValueError("no distributed kernel regression: choose lreg, dtree or forest")
 
@@ -68,10 +65,8 @@ def _classifier(model: str, seed: int, rows: int, depth: int, trees: int):
     common = {"featuresCol": VECTOR, "labelCol": LABEL}
     if model == "lreg":
         return LogisticRegression(regParam=1.0 / rows, standardization=False, **common)
-    if model == "dtree":
-        return DecisionTreeClassifier(maxDepth=depth, seed=seed, **common)
     if model == "forest":
-        return RandomForestClassifier(maxDepth=depth, numTrees=trees, seed=seed, **common)
+        return RandomForestClassifier(maxDepth=depth, numTrees=trees, maxBins=FOREST_CUTS, seed=seed, **common)
     return LinearSVC(regParam=1.0 / rows, standardization=False, **common)
 
 
@@ -86,10 +81,23 @@ def rmse(predicted: DataFrame, normalized: bool = False, label: str = "label") -
     return row["rmse"] / row["level"]
 
 
-def auc(predicted: DataFrame, label: str = "label") -> float:
-    """Area under the ROC curve, 4 digits."""
-    area = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(predicted)
-    return round(area, 4)
+def auc(predicted: DataFrame, label: str = "label", score: str = "rawPrediction") -> float:
+    """Area under the ROC curve, 4 digits: over all scores, rows of one score counting half against each other.
+
+    Rows are counted per score; the rows of class 0 below each score are running totals over ranges of
+    scores. Products of counts are added as exact decimals. Rows without a score or a label take no part."""
+    value = F.col(score)
+    if isinstance(predicted.schema[score].dataType, VectorUDT):
+        value = vector_to_array(value)[1]
+    rows = predicted.select(value.cast("double").alias("score"), F.col(label).alias("label")).dropna()
+    counts = rows.groupBy("score").agg(F.count_if(F.col("label") > 0).alias("ones"), F.count_if(F.col("label") <= 0).alias("zeros"))
+    ranked = running_totals(counts, [], "score", ["zeros"])
+    exact = [F.col(c).cast("decimal(19,0)") for c in ("ones", "zeros", "zeros_before")]
+    twice = F.sum(exact[0] * (2 * exact[2] + exact[1]))
+    total = ranked.agg(twice.alias("twice"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).first()
+    if not total["ones"] or not total["zeros"]:
+        raise ValueError("the area needs rows of both classes")
+    return round(float(Fraction(int(total["twice"]), 2 * total["ones"] * total["zeros"])), 4)
 
 
 def estimate_missing(
@@ -102,7 +110,7 @@ def estimate_missing(
     seed: int = 16,
     validation: float = 0.1,
     keys: list[str] | None = None,
-    depth: int = TREE_DEPTH,
+    depth: int | None = None,
     trees: int = TREES,
     held_out: Column | None = None,
 ) -> Estimate:
@@ -111,8 +119,9 @@ def estimate_missing(
     Rows with a missing predictor take no part. Predictors are standardised by the training
     rows. ``keys`` identify a row (default: target and predictors); they return with the
     predictions and decide the split, unless ``held_out`` says which rows are held out.
-    Classification is binary, with the higher class as 1. ``depth`` and ``trees`` bound trees
-    and forests. The input is read once: what takes part is written to the shared folder.
+    Classification is binary, with the higher class as 1. A tree tries every cut and grows until
+    its leaves are pure, unless ``depth`` bounds it; a forest's trees are bounded by ``depth`` or
+    the library's maximum. The input is read once: what takes part is written to the shared folder.
     """
     if method not in METHODS:
         raise ValueError(f"choose a valid method: {METHODS}")
@@ -135,6 +144,9 @@ def estimate_missing(
     known = rows.where(F.col(LABEL).isNotNull())
     training = known.where(~F.col(HELD_OUT))
     predictors = own
+    if model == "dtree":
+        return _by_tree(rows, known, training, predictors, method, normalized, depth)
+    depth = FOREST_DEPTH if depth is None else depth
     scaling = fit_scaling(training, predictors)
 
     def ready(part: DataFrame) -> DataFrame:
@@ -154,3 +166,18 @@ def estimate_missing(
     return Estimate(
         predicted.select("__key.*", F.col("prediction").alias("pred"), r4(proba).alias("proba")), auc(validated, LABEL), fitted
     )
+
+
+def _by_tree(
+    rows: DataFrame, known: DataFrame, training: DataFrame, predictors: list[str], method: str, normalized: bool, depth: int | None
+) -> Estimate:
+    """The estimate of one tree. Cuts lie between values, so predictors need no standardising; a class is the
+    one that more than half of a leaf's training rows have."""
+    fitted = tree.fit(training, LABEL, predictors, depth)
+    validated = fitted.predict(known.where(HELD_OUT))
+    predicted = fitted.predict(rows.where(F.col(LABEL).isNull()))
+    value = F.col("prediction")
+    if method == "regress":
+        return Estimate(predicted.select("__key.*", value.alias("pred")), rmse(validated, normalized, LABEL), fitted)
+    found = predicted.select("__key.*", (value > 0.5).cast("double").alias("pred"), r4(value).alias("proba"))
+    return Estimate(found, auc(validated, LABEL, "prediction"), fitted)

@@ -160,7 +160,7 @@ def test_columns_named_like_our_own(spark):
 def test_stated_hold_out_and_class_forest(spark):
     df = spark.range(400).selectExpr("id", "id % 20 as x", "if(id % 40 = 3, null, cast(id % 20 >= 10 as int)) as y")
     found = impute.estimate_missing(
-        df, "y", "x", model="forest", method="clasif", keys=["id"], trees=5, depth=4, held_out=F.col("id") % 10 == 0
+        df, "y", "x", model="forest", method="clasif", keys=["id"], trees=5, depth=4, held_out=F.floor(F.col("id") / 20) % 4 == 0
     )
     assert found.metric == 1.0
     assert {(r.pred, r.proba) for r in found.predictions.collect()} == {(0.0, 0.0)}
