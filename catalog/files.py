@@ -69,6 +69,39 @@ def src3(spark, folder):
     return amounts(snapshots.read_latest(spark, target))
 
 
+# Two stored versions of one extract: the older counts claims by day, the newer by holder and only of the period.
+_STORED = {
+    "query_20240601_0900": "select cast(FechaRecepcionLiquidacionVC as date) as grupo, count(*) as siniestros from siniestro group by all",
+    "query_20240702_1730": """begin
+      declare vigentes int default 1;
+      select s.RutTitular as grupo, count(*) as siniestros, count(distinct d.NumeroDenuncio) as denuncios
+      from siniestro s join denuncio d on d.iddenuncio = s.iddenuncio
+      where s.vigente = vigentes and s.FechaRecepcionLiquidacionVC >= to_date(:since, 'yyyyMMdd')
+        and s.FechaRecepcionLiquidacionVC < to_date(:until, 'yyyyMMdd')
+      group by s.RutTitular;
+    end""",
+}
+
+
+@query(
+    "src3_newest_stored_script",
+    f"""select s.RutTitular as grupo, count(*) as siniestros, count(distinct d.NumeroDenuncio) as denuncios
+        from siniestro s join denuncio d on d.iddenuncio = s.iddenuncio
+        where s.vigente = 1 and s.FechaRecepcionLiquidacionVC >= {day_sql(SINCE)} and s.FechaRecepcionLiquidacionVC < {day_sql(UNTIL)}
+        group by s.RutTitular""",
+)
+def src3_stored(spark, folder):
+    """Scripts are listed, the newest by name runs over the warehouse with the period as parameters."""
+    root = scratch_path(spark, "models")
+    for name, text in _STORED.items():
+        snapshots.write_file(spark, f"{root}/test/denuncios/queries/{name}.sql", text)
+    snapshots.write_file(spark, f"{root}/test/denuncios/queries/query_20991231_0000.txt", "select 'not a script' as grupo")
+    wh = StandIn(spark, folder)
+    tables = {name: wh[name] for name in ("siniestro", "denuncio")}
+    target = jobs.extract(tables, "input", "test", "denuncios", SINCE, UNTIL, root, FIRST, spark=spark, queries=root)
+    return snapshots.read_latest(spark, target)
+
+
 def two_snapshots(spark, folder):
     """Orders of two periods as two snapshots."""
     root = scratch_path(spark, "snapshots")
@@ -144,6 +177,38 @@ def src7(spark, folder):
     return found.select(table.alias("tabla"), name.alias("delimitador")).distinct()
 
 
+_NOTES = """p_name || chr(10) || '"' || p_type || '"; ' || chr(13) || chr(10) || chr(10) || p_brand"""
+
+
+def notes(spark, folder):
+    """Parts with a text of four lines that holds quotes, a delimiter and an empty line."""
+    part = StandIn(spark, folder).source("part")
+    text = F.concat("p_name", F.lit('\n"'), "p_type", F.lit('"; \r\n\n'), "p_brand")
+    return part.select("p_partkey", text.alias("nota"), "p_size")
+
+
+@query("src7_records_across_lines", f"select p_partkey, replace({_NOTES}, chr(13), '') as nota, p_size from part")
+def src7_records(spark, folder):
+    """Quoted values with line breaks, delimiters and doubled quotes, read by many tasks per file."""
+    path = scratch_path(spark, "notes")
+    notes(spark, folder).write.csv(path, sep=";", header=True, escape='"')
+    return files.read_records(spark, path, "p_partkey bigint, nota string, p_size int")
+
+
+@query(
+    "src7_delimiter_of_records_across_lines",
+    "select 'comas' as tabla, ',' as delimitador union all select 'puntos', ';' union all select 'barras', '|' union all select 'sueltas', 'error'",
+)
+def src7_quoted(spark, folder):
+    """Delimiters are counted per record, outside quotes: line breaks and delimiters inside do not matter."""
+    root, rows = scratch_path(spark, "quoted"), notes(spark, folder)
+    for name, mark in (("comas", ","), ("puntos", ";"), ("barras", "|")):
+        rows.write.csv(f"{root}/{name}", sep=mark, header=True, escape='"')
+    rows.select("nota").write.csv(f"{root}/sueltas", escape='"')
+    found = files.detect_delimiters(spark, f"{root}/*")
+    return found.select(F.element_at(F.split("archivo", "/"), -2).alias("tabla"), "delimitador").distinct()
+
+
 @query("src8_types_from_json_config", """select o_orderkey::varchar as o_orderkey, trunc(o_totalprice)::bigint as o_totalprice,
                                                 o_custkey::double as o_custkey, o_orderdate from orders""")
 def src8(spark, folder):
@@ -253,6 +318,37 @@ def snk2_complete(spark, folder):
     )
 
 
+@query(
+    "snk2_bundle_of_one_run",
+    f"""select '{FIRST}' as stamp, count(*) as filas, sum(p_partkey)::bigint as claves, sum(p_size + 100)::bigint as tallas from part""",
+)
+def snk2_run(spark, folder):
+    """Reruns under one stamp: the second replaces the first, whole; the third stops after its first table and
+    changes nothing."""
+    root, part = scratch_path(spark, "bundle"), StandIn(spark, folder).source("part")
+
+    def tables(added):
+        features = part.select(F.col("p_partkey").alias("uniqueid"), (F.col("p_size") + added).alias("p_size"))
+        keys = part.selectExpr("p_partkey as uniqueid", "p_partkey")
+        return {"dataset": features, "information": keys, "variables": features.limit(1)}
+
+    snapshots.save_tables(tables(0), root, FIRST)
+    snapshots.save_tables(tables(100), root, FIRST)
+    stopped = tables(1000)
+    stopped["information"] = stopped["information"].withColumn("uniqueid", F.raise_error(F.lit("stopped")).cast("bigint"))
+    try:
+        snapshots.save_tables(stopped, root, FIRST)
+    except Exception as error:
+        if "stopped" not in str(error):
+            raise
+    return snapshots.join_bundle(snapshots.read_bundle(spark, root)).agg(
+        F.lit(snapshots.latest_bundle(spark, root)).alias("stamp"),
+        F.count(F.lit(1)).alias("filas"),
+        F.sum("p_partkey").alias("claves"),
+        F.sum("p_size").alias("tallas"),
+    )
+
+
 @query("ml6_scored_bundle")
 def ml6_bundle(spark, folder):
     root = scratch_path(spark, "model")

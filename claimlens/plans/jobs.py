@@ -16,6 +16,7 @@ from claimlens.sources import snapshots
 from claimlens.sources.warehouse import Warehouse
 
 ACTIONS = ["input"]
+SCRIPT = ".sql"
 
 # Stored queries per (model, dataset); the newest name that contains the search text runs.
 EXTRACTS: Mapping[tuple[str, str], Mapping[str, Callable[..., DataFrame]]] = {
@@ -38,20 +39,49 @@ def run_sql_script(spark: SparkSession, path: str, args: Mapping[str, object] |
     return spark.sql(text, args=dict(args or {}))
 
 
-def choose_extract(model: str, dataset: str, search_text: str = "query") -> Callable[..., DataFrame]:
-    versions = EXTRACTS[model, dataset]
+def stored_scripts(spark: SparkSession, queries: str, model: str, dataset: str) -> dict[str, str]:
+    """Name (without the ending) and path of the SQL scripts stored for a model and dataset, as the file system
+    lists them: ``<queries>/<model>/<dataset>/queries/*.sql``. A folder that is not there has none."""
+    folder = f"{queries}/{model}/{dataset}/queries"
+    return {name.removesuffix(SCRIPT): path for name, path in snapshots.listed(spark, folder).items() if name.endswith(SCRIPT)}
+
+
+def stored_extract(spark: SparkSession, path: str) -> Callable[..., DataFrame]:
+    """A stored script as an extract: the warehouse's tables are views of their names, the period's bounds the
+    parameters ``:since`` and ``:until``."""
+
+    def run(wh: Warehouse, since: str, until: str) -> DataFrame:
+        for name in wh:
+            wh[name].createOrReplaceTempView(name)
+        return run_sql_script(spark, path, {"since": since, "until": until})
+
+    return run
+
+
+def choose_extract(
+    model: str, dataset: str, search_text: str = "query", spark: SparkSession | None = None, queries: str | None = None
+) -> Callable[..., DataFrame]:
+    """The newest version, by name, among those that come with the package and, where ``queries`` names a
+    folder, the scripts stored there; a stored script takes the place of a version of its own name."""
+    versions = dict(EXTRACTS.get((model, dataset), {}))
+    if queries is not None:
+        stored = stored_scripts(spark, queries, model, dataset)
+        versions |= {name: stored_extract(spark, path) for name, path in stored.items()}
     return versions[snapshots.newest(list(versions), search_text)]
 
 
 def extract(
     wh: Warehouse, action: str, model: str, dataset: str, since: str, until: str, root: str, when: str,
-    search_text: str = "query",
+    search_text: str = "query", spark: SparkSession | None = None, queries: str | None = None,
 ) -> str:
-    """Run the newest extract of a model and dataset and store it as a snapshot; returns its root."""
+    """Run the newest extract of a model and dataset and store it as a snapshot; returns its root.
+
+    With ``spark`` and a folder ``queries``, SQL scripts stored there are versions too."""
     if action not in ACTIONS:
         raise ValueError(f"Invalid action: {action}")
     target = f"{root}/{model}/{dataset}/dataset"
-    snapshots.save_snapshot(choose_extract(model, dataset, search_text)(wh, since, until), target, when)
+    chosen = choose_extract(model, dataset, search_text, spark, queries)
+    snapshots.save_snapshot(chosen(wh, since, until), target, when)
     return target
 
 

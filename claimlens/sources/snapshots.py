@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -13,6 +15,7 @@ from claimlens.operators.features import ROW_ID, Prepared
 SNAPSHOT = "snapshot"
 BUNDLE = ["dataset", "information", "variables"]
 COMPLETE = "_SUCCESS"  # what the writer leaves last
+MANIFESTS = "manifests"
 
 
 def stamp(now: datetime) -> str:
@@ -37,19 +40,39 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("basePath", root).parquet(root).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
+def _store(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that it lies in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def listed(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name and path of what lies in a folder; no file is opened. A missing folder holds nothing."""
+    path, store = _store(spark, folder)
+    if not store.exists(path):
+        return {}
+    return {s.getPath().getName(): s.getPath().toString() for s in store.listStatus(path)}
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, whole or not at all: it is written beside its place and gets its name by a rename, which
+    fails if the name is taken."""
+    target, store = _store(spark, path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = store.create(written, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if store.exists(target) or not store.rename(written, target):
+        raise FileExistsError(path)
+
+
 def stamps(spark: SparkSession, root: str) -> list[str]:
     """Stamps of the complete snapshots below ``root``, oldest first, with or without rows in them.
 
-    Folder names are listed, no file is opened. A snapshot is complete once its writer has
-    left the marker that it writes last; a missing root has none.
+    A snapshot is complete once its writer has left the marker that it writes last.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(folder):
-        return []
-    names = [(s.getPath(), s.getPath().getName()) for s in store.listStatus(folder)]
-    done = [n for path, n in names if n.startswith(f"{SNAPSHOT}=") and store.exists(hadoop.Path(path, COMPLETE))]
+    folders = {n: p for n, p in listed(spark, root).items() if n.startswith(f"{SNAPSHOT}=")}
+    done = [n for n, path in folders.items() if COMPLETE in listed(spark, path)]
     return sorted(n.removeprefix(f"{SNAPSHOT}=") for n in done)
 
 
@@ -71,25 +94,63 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
     return read_snapshot(spark, root, latest_snapshot(spark, root))
 
 
+def save_tables(tables: Mapping[str, DataFrame], root: str, when: str) -> str:
+    """Store the tables of one bundle under a stamp; returns the path of its manifest.
+
+    Each run writes to folders of its own, and last a manifest that names them. Readers follow manifests, so
+    they see the tables of one run, all of them: a run that stops before has changed nothing, and a rerun
+    under a stamp takes effect at once. The manifest gets its name by a rename after it is written; of two runs
+    that claim one number, the second fails.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    run = uuid.uuid4().hex
+    paths = {name: f"{root}/prepared/runs/{run}/{name}" for name in tables}
+    for name, table in tables.items():
+        table.write.parquet(paths[name])
+    folder = f"{root}/prepared/{MANIFESTS}"
+    earlier = [n for n in listed(spark, folder) if n.startswith(f"{when}.")]
+    target = f"{folder}/{when}.{len(earlier) + 1:06d}.json"
+    write_file(spark, target, json.dumps({"stamp": when, "run": run, "tables": sorted(tables)}))
+    return target
+
+
 def save_bundle(prepared: Prepared, root: str, when: str) -> None:
     """Prepared data as three tables under the stamp of the snapshot it came from."""
-    save_snapshot(prepared.dataset(), f"{root}/prepared/dataset", when)
-    save_snapshot(prepared.info(), f"{root}/prepared/information", when)
-    save_snapshot(prepared.variables().coalesce(1), f"{root}/prepared/variables", when)
+    frames = (prepared.dataset(), prepared.info(), prepared.variables().coalesce(1))
+    save_tables(dict(zip(BUNDLE, frames, strict=True)), root, when)
+
+
+def _manifests(spark: SparkSession, root: str) -> dict[str, str]:
+    """Stamp and path of the newest manifest of every stamp."""
+    names = listed(spark, f"{root}/prepared/{MANIFESTS}")
+    return {n.split(".")[0]: names[n] for n in sorted(names) if n.endswith(".json")}
+
+
+def _bundles(spark: SparkSession, root: str) -> dict[str, str | None]:
+    """Every stamp with the manifest of its bundle; None where three complete snapshots are one, as they were
+    stored before there were manifests."""
+    plain = set.intersection(*[set(stamps(spark, f"{root}/prepared/{name}")) for name in BUNDLE])
+    return dict.fromkeys(plain) | _manifests(spark, root)
 
 
 def latest_bundle(spark: SparkSession, root: str) -> str:
-    """The newest stamp under which all tables of a bundle are complete."""
-    found = set.intersection(*[set(stamps(spark, f"{root}/prepared/{name}")) for name in BUNDLE])
+    """The newest stamp under which there is a whole bundle."""
+    found = _bundles(spark, root)
     if not found:
         raise FileNotFoundError(f"no complete bundle in {root}")
     return max(found)
 
 
 def read_bundle(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The newest complete bundle; its tables have one stamp and share the row id."""
-    when = latest_bundle(spark, root)
-    return {name: read_snapshot(spark, f"{root}/prepared/{name}", when) for name in BUNDLE}
+    """The newest bundle; its tables are of one run and share the row id."""
+    bundles = _bundles(spark, root)
+    if not bundles:
+        raise FileNotFoundError(f"no complete bundle in {root}")
+    when = max(bundles)
+    if bundles[when] is None:
+        return {name: read_snapshot(spark, f"{root}/prepared/{name}", when) for name in BUNDLE}
+    manifest = json.loads(spark.read.text(bundles[when], wholetext=True).first().value)
+    return {name: spark.read.parquet(f"{root}/prepared/runs/{manifest['run']}/{name}") for name in manifest["tables"]}
 
 
 def join_bundle(bundle: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -26,6 +27,49 @@ def test_delimiters_of_many_files(spark, tmp_path):
     assert got == {"semi.csv": ";", "comma.csv": ",", "pipe.csv": "|", "none.csv": "error", "late.csv": "error"}
 
 
+def test_delimiters_of_records_across_lines(spark, tmp_path):
+    write(tmp_path / "d/breaks.csv", 'a;b\n1;"two\nlines; and ""more""\n"\n"x\n";3\n')
+    write(tmp_path / "d/comma.csv", '"a\n;;\n;",b\n1,"\n"\n')
+    write(tmp_path / "d/odd.csv", 'a|b\n5" pipe|2\n3|4\n')  # quotes that are no pairs: line by line
+    write(tmp_path / "d/whole.csv", '"one\nvalue"\n"and\nanother"\n')
+    got = {r.archivo.rsplit("/", 1)[1]: r.delimitador for r in files.detect_delimiters(spark, str(tmp_path / "d")).collect()}
+    assert got == {"breaks.csv": ";", "comma.csv": ",", "odd.csv": "|", "whole.csv": "error"}
+
+
+def plain_records(text):
+    """Lines of a file put together while a quote is open."""
+    found, open_ = [], False
+    for line in text.split("\n"):
+        found = [*found[:-1], found[-1] + "\n" + line] if open_ else [*found, line]
+        open_ ^= line.count('"') % 2 == 1
+    return found
+
+
+@pytest.mark.parametrize("split", ["128m", "37b"])
+def test_records_of_files_in_many_splits(spark, tmp_path, split):
+    """Parity is carried from split to split: however a file is cut, its records are the same."""
+    rng, expected = random.Random(7), {}
+    for name in ("a", "b", "c"):
+        values = ["".join(rng.choice(['x', ';', '\n', '""', ' ']) for _ in range(rng.randrange(12))) for _ in range(60)]
+        text = "\n".join([f'{i};"{v}"' for i, v in enumerate(values)])
+        write(tmp_path / f"d/{name}.csv", text + "\n")
+        expected[f"{name}.csv"] = plain_records(text)
+    with_split = spark.newSession()
+    with_split.conf.set("spark.sql.files.maxPartitionBytes", split)
+    with_split.conf.set("spark.sql.files.openCostInBytes", "0")
+    found = {}
+    for r in sorted(files.records(with_split, str(tmp_path / "d")).collect(), key=lambda r: (r.archivo, r.registro)):
+        found.setdefault(r.archivo.rsplit("/", 1)[1], []).append(r.texto)
+    assert found == expected
+
+
+def test_values_of_records_across_lines(spark, tmp_path):
+    write(tmp_path / "d/a.csv", 'k;v;n\n1;"two\n\nlines; ""q""";5\n\n2;plain;\n3;"";7\n')
+    write(tmp_path / "d/b.csv", "k;v;n\n")
+    rows = files.read_records(spark, str(tmp_path / "d"), "k int, v string, n int").collect()
+    assert sorted((r.k, r.v, r.n) for r in rows) == [(1, 'two\n\nlines; "q"', 5), (2, "plain", None), (3, None, 7)]
+
+
 def test_snapshots_keep_each_other_and_the_newest_is_read(spark, tmp_path):
     root = str(tmp_path / "s")
     for when, rows in (("20250106_0900", 3), ("20250203_1430", 5), ("20250106_0900", 4)):
@@ -59,6 +103,55 @@ def test_bundle_has_one_stamp(spark, tmp_path):
     assert snapshots.read_bundle(spark, root)["dataset"].first().v == "dataset20250106_0900"
 
 
+def tables(spark, text):
+    return {name: spark.createDataFrame([(1, f"{name} {text}")], "uniqueid int, v string") for name in snapshots.BUNDLE}
+
+
+def values(spark, root):
+    return {name: df.first().v for name, df in snapshots.read_bundle(spark, root).items()}
+
+
+def test_a_rerun_takes_effect_at_once_or_not_at_all(spark, tmp_path):
+    root, when = str(tmp_path), "20250203_0900"
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_bundle(spark, root)
+    for text in ("first", "second"):
+        snapshots.save_tables(tables(spark, text), root, when)
+        assert values(spark, root) == {name: f"{name} {text}" for name in snapshots.BUNDLE}
+    broken = tables(spark, "third")
+    broken["variables"] = broken["variables"].selectExpr("raise_error('stopped') as uniqueid", "v")
+    with pytest.raises(Exception, match="stopped"):
+        snapshots.save_tables(broken, root, when)
+    assert values(spark, root)["dataset"] == "dataset second"
+    snapshots.save_tables(tables(spark, "older"), root, "20250106_0900")
+    assert snapshots.latest_bundle(spark, root) == when and values(spark, root)["dataset"] == "dataset second"
+
+
+def test_a_bundle_does_not_need_the_writers_marker(spark, tmp_path):
+    """Some stores are told to leave none."""
+    snapshots.save_tables(tables(spark, "only"), str(tmp_path), "20250203_0900")
+    for marker in tmp_path.rglob("_SUCCESS"):
+        marker.write_text("")
+        marker.replace(marker.with_name("_gone"))
+    assert values(spark, str(tmp_path))["information"] == "information only"
+
+
+def test_bundles_from_before_manifests_are_read(spark, tmp_path):
+    root = str(tmp_path)
+    for name, df in tables(spark, "plain").items():
+        snapshots.save_snapshot(df, f"{root}/prepared/{name}", "20250106_0900")
+    assert values(spark, root)["dataset"] == "dataset plain"
+    snapshots.save_tables(tables(spark, "run"), root, "20250106_0900")
+    assert values(spark, root)["dataset"] == "dataset run"
+
+
+def test_a_name_is_given_once(spark, tmp_path):
+    snapshots.write_file(spark, str(tmp_path / "f/a.json"), "é")
+    with pytest.raises(FileExistsError):
+        snapshots.write_file(spark, str(tmp_path / "f/a.json"), "b")
+    assert (tmp_path / "f/a.json").read_text() == "é"
+
+
 def test_names_and_stamps():
     assert snapshots.newest(["dataset_20250106_0900", "dataset_20250203_1430", "other_9"], "dataset").endswith("1430")
     with pytest.raises(FileNotFoundError):
@@ -152,6 +245,30 @@ def test_sql_script_returns_its_last_result(spark, tmp_path):
     assert jobs.run_sql_script(spark, str(tmp_path / "one.sql"), {"a": "v"}).collect()[0].a == "v"
 
 
+def test_newest_stored_script_runs(spark, tmp_path):
+    folder = tmp_path / "m/test/saludmental/queries"
+    names = {"query_20240101": "select 1 as v", "query_20240301": "select :since as v, count(*) as n from persona where idpersona > 0",
+             "other_20250101": "select 3 as v"}
+    for name, text in names.items():
+        write(folder / f"{name}.sql", text)
+    write(folder / "query_2099.txt", "no script")
+    assert sorted(jobs.stored_scripts(spark, str(tmp_path / "m"), "test", "saludmental")) == sorted(names)
+    assert jobs.stored_scripts(spark, str(tmp_path / "m"), "test", "nothing") == {}
+    wh = Micro().build(spark)
+
+    def run(text):
+        chosen = jobs.choose_extract("test", "saludmental", text, spark, str(tmp_path / "m"))
+        return [tuple(r) for r in chosen(wh, "20240601", "20240701").collect()]
+
+    assert run("query") == [("20240601", wh["persona"].count())]
+    assert run("other") == [(3,)] and run("0101") == [(1,)]
+    with pytest.raises(FileNotFoundError):
+        run("nothing like it")
+    # A version that comes with the package is one of them: it runs where no script is stored.
+    found = jobs.choose_extract("test", "saludmental", "query", spark, str(tmp_path / "elsewhere"))
+    assert found is jobs.choose_extract("test", "saludmental")
+
+
 def test_extract_job(spark, tmp_path):
     wh = Micro()
     for i in range(4):
