@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from claimlens.functions.text import named
 
 # A variance below this share of the sum of squares that it is taken from is rounding.
 ROUNDING = 1e-11
+MERGED = 64
 
 
 def _shifts(frame: DataFrame) -> list[float | None]:
@@ -25,18 +27,34 @@ def _shifts(frame: DataFrame) -> list[float | None]:
 
 def _gramian(frame: DataFrame, shifts: list[float | None]) -> np.ndarray:
     """Second pass: sums of products of all pairs among the shifted values, their squares and the marks
-    of presence; a missing value is 0 in all three. Executors sum matrices of (3 d)^2 numbers."""
+    of presence; a missing value is 0 in all three. A task adds up a matrix of (3 d)^2 numbers from its batches,
+    and tasks' matrices are added in groups of ``MERGED`` before the rest reach the driver."""
+    size = 3 * len(shifts)
     if not any(s is not None for s in shifts):
-        return np.zeros((3 * len(shifts), 3 * len(shifts)))
-    values = [F.col(c) - F.lit(s or 0.0) for c, s in zip(frame.columns, shifts, strict=True)]
-    here = [F.coalesce(v, F.lit(0.0)) for v in values]
-    marks = [v.isNotNull().cast("double") for v in values]
-    parts = [*here, *[v * v for v in here], *marks]
-    names = [f"p{i}" for i in range(len(parts))]
-    rows = frame.select([c.alias(n) for n, c in zip(names, parts, strict=True)])
-    rows = VectorAssembler(inputCols=names, outputCol="v").transform(rows).select("v")
-    rows = MLUtils.convertVectorColumnsFromML(rows, "v")
-    return RowMatrix(rows, numCols=len(parts)).computeGramianMatrix().toArray()
+        return np.zeros((size, size))
+    around = np.array([s or 0.0 for s in shifts])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size))
+        for batch in batches:
+            values = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) - around
+            here = ~np.isnan(values)
+            values = np.where(here, values, 0.0)
+            parts = np.concatenate([values, values * values, here], 1)
+            total += parts.T @ parts
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"sums": [_sum(part["sums"], size).tobytes()]})
+
+    sums = frame.mapInArrow(added, "sums binary").withColumn("part", F.floor(F.spark_partition_id() / MERGED))
+    found = sums.groupBy("part").applyInPandas(merged, "sums binary").collect()
+    return _sum([bytes(r["sums"]) for r in found], size)
+
+
+def _sum(matrices: Iterable[bytes], size: int) -> np.ndarray:
+    """In one order, however they arrive, so that a recomputed task adds alike."""
+    return sum((np.frombuffer(m).reshape(size, size) for m in sorted(matrices)), np.zeros((size, size)))
 
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
