@@ -101,14 +101,15 @@ PARTS["clasif"] = f"""
     select dp.CodigoPrestacion, {code_sql('dp.CodigoPrestacion')} as codigo, dp.GlosaPrestacionHomologada,
            gp.IdGrupoPrestacion, gp.ClasificacionGrupo, sp.IdSubgrupoPrestacion, sp.ClasificacionSubgrupo,
            ap.IdAperturaPrestacion, ap.ClasificacionApertura
-    from detalle_prestacion dp, subgrupo_apertura_prestacion sap, grupo_subgrupo_prestacion gsp,
-         grupo_prestacion gp, subgrupo_prestacion sp, apertura_prestacion ap, patologia_asociada pa
-    where dp.IdSubgrupoApertura = sap.IdSubgrupoApertura and dp.IdGrupoSubgrupo = gsp.IdGrupoSubgrupo
-      and gsp.IdGrupoPrestacion = gp.IdGrupoPrestacion
-      and sp.IdSubgrupoPrestacion = sap.IdSubgrupoPrestacion and sp.IdSubgrupoPrestacion = gsp.IdSubgrupoPrestacion
-      and sap.IdAperturaPrestacion = ap.IdAperturaPrestacion and dp.IdPatologiaAsociada = pa.IdPatologiaAsociada
-      and dp.Vigencia = 1 and sap.Vigencia = 1 and gsp.Vigencia = 1 and gp.Vigencia = 1 and sp.Vigencia = 1
-      and ap.Vigencia = 1 and pa.Vigencia = 1"""
+    from detalle_prestacion dp
+    join subgrupo_apertura_prestacion sap on sap.IdSubgrupoApertura = dp.IdSubgrupoApertura and sap.Vigencia = 1
+    join apertura_prestacion ap on ap.IdAperturaPrestacion = sap.IdAperturaPrestacion and ap.Vigencia = 1
+    join subgrupo_prestacion sp on sp.IdSubgrupoPrestacion = sap.IdSubgrupoPrestacion and sp.Vigencia = 1
+    join grupo_subgrupo_prestacion gsp on gsp.IdGrupoSubgrupo = dp.IdGrupoSubgrupo
+      and gsp.IdSubgrupoPrestacion = sp.IdSubgrupoPrestacion and gsp.Vigencia = 1
+    join grupo_prestacion gp on gp.IdGrupoPrestacion = gsp.IdGrupoPrestacion and gp.Vigencia = 1
+    join patologia_asociada pa on pa.IdPatologiaAsociada = dp.IdPatologiaAsociada and pa.Vigencia = 1
+    where dp.Vigencia = 1"""
 
 # Claims with every table that takes part in all three claim queries.
 PARTS["base"] = f"""

@@ -19,6 +19,7 @@ from claimlens.session import stage
 from claimlens.sources.warehouse import Warehouse
 
 Keep = Callable[[DataFrame, str], DataFrame]
+COPIES = 1024  # of a row that are made at a time
 
 
 class Extract:
@@ -196,7 +197,11 @@ def fan_out(wh: Warehouse, claims: DataFrame, approved_only: bool, branches: Dat
 def repeat_rows(rows: DataFrame, *times: Column) -> DataFrame:
     """Every row as many times as its weights say: the plain join's bag of rows.
 
-    One weight after the other, so that no array is as long as their product."""
+    One weight after the other, and each in blocks of ``COPIES``, so that no array is long."""
+    first, last = F.lit(0).cast("bigint"), F.lit(COPIES - 1).cast("bigint")
     for n in times:
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint")))).drop("_copy")
+        blocks = F.sequence(first, n.cast("bigint") - 1, F.lit(COPIES).cast("bigint"))
+        rows = rows.withColumns({"_left": n.cast("bigint"), "_block": F.explode(blocks)})
+        copies = F.sequence(first, F.least(last, F.col("_left") - 1 - F.col("_block")))
+        rows = rows.withColumn("_copy", F.explode(copies)).drop("_copy", "_block", "_left")
     return rows

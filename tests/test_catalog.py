@@ -12,7 +12,7 @@ import catalog
 from tests.conftest import SMALL
 
 # Relational queries stay clear of nested loops and of Python inside plans.
-RELATIONAL = re.compile(r"(q\d|out|jn|ag|flt|prj|str|dt|ma|ps|wn)")
+RELATIONAL = re.compile(r"(q\d|out|jn|ag|flt|prj|str|dt|ma|ps|wn|fe|mp|cr|set|srt|stg|dq|snk|src|smp|lim)")
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 
