@@ -81,9 +81,9 @@ def test_shared_heads(spark):
     assert found(spark, rows, shared=True) == plain(rebuilt(turns_of(rows)))
 
 
-@pytest.mark.parametrize("deepest", [45])
+@pytest.mark.parametrize("deepest", [20])
 def test_several_rounds_of_bands_and_blocks(spark, monkeypatch, deepest):
-    """Bands of 2 depths, windows of 8 turns: a trie of depth 45 needs six rounds and many blocks."""
+    """Bands of 2 depths, windows of 8 turns: a trie of depth 20 needs five rounds and many blocks."""
     monkeypatch.setattr(trie, "BAND", 2)
     monkeypatch.setattr(trie, "BLOCK", 8)
     monkeypatch.setattr(trie, "TURNS", 4)
