@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import magnitude_class, magnitude_mark
 from claimlens.functions.text import named
+from claimlens.session import with_package
 
 # A variance below this share of the sum of squares that it is taken from is rounding.
 ROUNDING = 1e-11
@@ -32,6 +33,7 @@ def _gramian(frame: DataFrame, shifts: list[float | None]) -> np.ndarray:
     size = 3 * len(shifts)
     if not any(s is not None for s in shifts):
         return np.zeros((size, size))
+    with_package(frame.sparkSession)
     around = np.array([s or 0.0 for s in shifts])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.operators.running import running_totals
-from claimlens.session import stage
+from claimlens.session import stage, with_package
 
 LOCAL_ROWS = 20_000
 DIGITS = 9
@@ -44,6 +44,7 @@ class ExactTree:
 
     def predict(self, rows: DataFrame, name: str = "prediction") -> DataFrame:
         """``rows`` with the mean label of each row's leaf. Predictors must not be null."""
+        with_package(rows.sparkSession)
         placed = rows.withColumn("__path", F.lit(""))
         for level, cuts in enumerate(self.cuts):
             placed = stage(_descended(placed, cuts, self.predictors), f"tree-rows-{level}")
@@ -160,6 +161,7 @@ def _middle(a: float, b: float) -> float:
 
 def fit(training: DataFrame, label: str, predictors: list[str], depth: int | None = None) -> ExactTree:
     """The tree of rows whose label and predictors are numbers and not null. No rows: no tree to grow."""
+    with_package(training.sparkSession)
     rows = training.select(
         F.col(label).cast("double").alias("__y"), *(F.col(p).cast("double").alias(p) for p in predictors)
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +20,20 @@ PLAN_SETTINGS = {
 }
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Python workers that start from now on find this package where the driver found it."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    places = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in places:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *places])
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in PLAN_SETTINGS.items():
         spark.conf.set(name, value)
-    return spark
+    return with_package(spark)
 
 
 def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
