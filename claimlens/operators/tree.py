@@ -1,11 +1,12 @@
 """A decision tree whose cuts are tried between all values of its predictors.
 
 A tree of squared error (for a label of 0 and 1 its cuts are those of the Gini impurity, and a leaf's mean is
-the share of ones). It grows a level at a time, all nodes at once: each predictor's values with the label's
-sums, in value order, give the gain of every cut as one projection over running totals, and the best cut of
-each node is one aggregate. A node of at most ``LOCAL_ROWS`` rows leaves this loop; its whole subtree is grown
-from its rows in one task, by the same rule. So the number of rounds grows with the logarithm of the rows,
-and neither a task nor the driver ever holds more than such a node.
+the share of ones). Rows with equal predictors go together through any cut: they are one *point*, with their
+number and the moments of their labels, before anything else happens. The tree grows a level at a time, all
+nodes at once: each predictor's values with the label's sums, in value order, give the gain of every cut as one
+projection over running totals, and the best cut of each node is one aggregate. A node of at most
+``LOCAL_ROWS`` points leaves this loop; its whole subtree is grown from its points in one task, by the same rule.
+Neither a task nor the driver ever holds more than such a node.
 
 Nodes are split until their labels are equal or their rows cannot be told apart (or ``depth`` is reached).
 The cut lies midway between two neighbouring values. Of cuts whose gains agree to ``DIGITS`` digits of the
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from claimlens.operators.running import running_totals
 from claimlens.session import stage, with_package
 
-LOCAL_ROWS = 20_000
+LOCAL_ROWS = 20_000  # points of a node that one task finishes
 DIGITS = 9
 PASSENGERS = 100_000  # rows that meet a subtree in one task
 
@@ -95,39 +96,56 @@ def _descended(rows: DataFrame, cuts: DataFrame, predictors: list[str]) -> DataF
     return moved.withColumn("__path", path).select(*(F.col(f"`{c}`") for c in rows.columns))
 
 
+@dataclass
+class Points:
+    """Per point: its predictors, number of rows, the labels' mean, sum of squares around it, and extremes."""
+
+    x: np.ndarray
+    n: np.ndarray
+    mean: np.ndarray
+    square: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
 def grown(x: np.ndarray, y: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, ...]:
     """The whole tree of rows held in memory: (feature, threshold, child, value) of its nodes, breadth first."""
-    n_rows, n_features = x.shape
+    return grown_from(Points(x, np.ones(len(y)), y, np.zeros(len(y)), y, y), depth)
+
+
+def grown_from(points: Points, depth: int | None = None) -> tuple[np.ndarray, ...]:
+    """The whole tree of points held in memory."""
+    x = points.x
+    n_points, n_features = x.shape
     order = [np.argsort(x[:, j], kind="stable") for j in range(n_features)]
     feature, threshold, child, value = [], [], [], []
-    node = np.zeros(n_rows, np.int64)  # of this level; -1 where the row has reached a leaf
+    node = np.zeros(n_points, np.int64)  # of this level; -1 where the point has reached a leaf
     width, level = 1, 0
     while width:
-        inside = node >= 0
-        n = np.bincount(node[inside], minlength=width).astype(float)
-        total = np.bincount(node[inside], y[inside], minlength=width)
-        mean = total / n
+        inside = np.flatnonzero(node >= 0)
+        at = node[inside]
+        n = np.bincount(at, points.n[inside], minlength=width)
+        mean = np.bincount(at, points.n[inside] * points.mean[inside], minlength=width) / n
         low, high = np.full(width, np.inf), np.full(width, -np.inf)
-        np.minimum.at(low, node[inside], y[inside])
-        np.maximum.at(high, node[inside], y[inside])
-        spread = np.bincount(node[inside], (y[inside] - mean[node[inside]]) ** 2, minlength=width)
+        np.minimum.at(low, at, points.low[inside])
+        np.maximum.at(high, at, points.high[inside])
+        around = points.mean[inside] - mean[at]
+        spread = np.bincount(at, points.square[inside] + points.n[inside] * around**2, minlength=width)
         best, cut_feature, cut_at = np.full(width, -np.inf), np.full(width, -1), np.zeros(width)
         if depth is None or level < depth:
             for j in range(n_features):
-                by = order[j][inside[order[j]]]
+                by = order[j][node[order[j]] >= 0]
                 by = by[np.argsort(node[by], kind="stable")]
                 of, v = node[by], x[by, j]
                 # Labels around their node's mean: the running sums of a node stay small.
-                label = y[by] - mean[of]
                 starts = np.searchsorted(of, np.arange(width))
-                count = np.arange(1, len(by) + 1) - starts[of]
-                sums = np.cumsum(label)
-                sums -= np.r_[0.0, sums][starts][of]
+                count = _running(points.n[by], starts, of)
+                sums = _running(points.n[by] * (points.mean[by] - mean[of]), starts, of)
                 last = np.flatnonzero((of[:-1] == of[1:]) & (v[:-1] < v[1:]))
                 last = last[low[of[last]] < high[of[last]]]
                 gain = _gain(count[last], sums[last], n[of[last]], spread[of[last]])
-                at = np.lexsort((last, -gain, of[last]))
-                heads = at[np.r_[True, of[last][at][1:] != of[last][at][:-1]]] if len(at) else at
+                ranked = np.lexsort((last, -gain, of[last]))
+                heads = ranked[np.r_[True, of[last][ranked][1:] != of[last][ranked][:-1]]] if len(ranked) else ranked
                 for k in heads:
                     i, g = of[last[k]], gain[k]
                     if g > best[i]:
@@ -139,15 +157,24 @@ def grown(x: np.ndarray, y: np.ndarray, depth: int | None = None) -> tuple[np.nd
         threshold += cut_at.tolist()
         value += mean.tolist()
         child += np.where(split, first + 2 * place, 0).tolist()
-        moved = inside & split[np.where(inside, node, 0)]
-        rows = np.flatnonzero(moved)
+        rows = inside[split[at]]
         at = node[rows]
-        node = np.full(n_rows, -1)
+        node = np.full(n_points, -1)
         node[rows] = 2 * place[at] + (x[rows, cut_feature[at]] > cut_at[at])
         width, level = 2 * int(split.sum()), level + 1
     return np.array(feature, np.int32), np.array(threshold), np.array(child, np.int32), np.array(value)
 
 
+def _running(values: np.ndarray, starts: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Sums from the start of each value's node up to it."""
+    sums = np.cumsum(values)
+    return sums - np.r_[0.0, sums][starts][of]
+
+
+def _mean() -> Column:
+    return F.sum(F.col("__n") * F.col("__mean")) / F.sum("__n")
+
+
 def _gain(count: np.ndarray, sums: np.ndarray, n: np.ndarray, spread: np.ndarray) -> np.ndarray:
     """Share of a node's variation that a cut explains; ``sums`` of the left side, around the node's mean."""
     return np.round(sums**2 * n / (count * (n - count)) / spread, DIGITS)
@@ -162,17 +189,21 @@ def _middle(a: float, b: float) -> float:
 def fit(training: DataFrame, label: str, predictors: list[str], depth: int | None = None) -> ExactTree:
     """The tree of rows whose label and predictors are numbers and not null. No rows: no tree to grow."""
     with_package(training.sparkSession)
-    rows = training.select(
-        F.col(label).cast("double").alias("__y"), *(F.col(p).cast("double").alias(p) for p in predictors)
-    )
-    placed = stage(rows.withColumn("__path", F.lit("")), "tree-rows")
+    y = F.col(label).cast("double")
+    points = training.groupBy(*(F.col(p).cast("double").alias(p) for p in predictors)).agg(
+        F.count(F.lit(1)).cast("double").alias("__n"), F.avg(y).alias("__mean"), F.var_pop(y).alias("__square"),
+        F.min(y).alias("__low"), F.max(y).alias("__high"),
+    )
+    points = points.withColumns({"__square": F.col("__square") * F.col("__n"), "__path": F.lit("")})
+    placed = stage(points, "tree-points")
     cuts, done, level = [], [], 0
     while True:
         nodes = placed.groupBy("__path").agg(
-            F.count(F.lit(1)).alias("n"), F.avg("__y").alias("mean"), F.min("__y").alias("low"), F.max("__y").alias("high")
-        )
+            F.count(F.lit(1)).alias("points"), F.sum("__n").alias("n"), _mean().alias("mean"),
+            F.min("__low").alias("low"), F.max("__high").alias("high"),
+        )
         nodes = stage(nodes, "tree-nodes")
-        large = (F.col("n") > LOCAL_ROWS) & (F.col("low") < F.col("high"))
+        large = (F.col("points") > LOCAL_ROWS) & (F.col("low") < F.col("high"))
         here = nodes.where(large)
         if (depth is not None and level >= depth) or here.isEmpty():
             done.append(placed)
@@ -194,11 +225,12 @@ def fit(training: DataFrame, label: str, predictors: list[str], depth: int | Non
 def _best_cuts(rows: DataFrame, predictors: list[str]) -> DataFrame:
     """(path, feature, threshold) of the nodes of ``rows`` that some cut divides."""
     values = F.explode(F.array(*(F.struct(F.lit(j).alias("feature"), F.col(p).alias("x")) for j, p in enumerate(predictors))))
-    around = F.col("__y") - F.col("mean")
-    each = rows.select("__path", "n", around.alias("__d"), values.alias("v"))
+    around = F.col("__mean") - F.col("mean")
+    each = rows.select("__path", "n", "__n", "__square", around.alias("__d"), values.alias("v"))
     counts = each.groupBy("__path", F.col("v.feature").alias("feature"), F.col("v.x").alias("x"), "n").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("__d").alias("d"), F.sum(F.col("__d") * F.col("__d")).alias("q")
-    )
+        F.sum("__n").alias("k"), F.sum(F.col("__n") * F.col("__d")).alias("d"),
+        F.sum(F.col("__square") + F.col("__n") * F.col("__d") * F.col("__d")).alias("q"),
+    )
     counts = stage(counts, "tree-values")
     spread = counts.where("feature = 0").groupBy("__path").agg(F.sum("q").alias("spread"))
     run = running_totals(counts.drop("q"), ["__path", "feature"], "x", ["k", "d"], following="after")
@@ -213,14 +245,11 @@ def _best_cuts(rows: DataFrame, predictors: list[str]) -> DataFrame:
 
 
 def _subtrees(rows: DataFrame, predictors: list[str], depth: int | None) -> DataFrame:
-    """(path, subtree): grown from the rows of a small node; a large one that no cut divides, or whose labels
+    """(path, subtree): grown from the points of a small node; a large one that no cut divides, or whose labels
     are equal, is a leaf by its mean alone."""
-    single = F.min("__y") == F.max("__y")
-    alike = F.lit(True)
-    for p in predictors:
-        alike = alike & (F.min(p) == F.max(p))
-    ends = F.lit(depth == 0) | single | alike
-    nodes = stage(rows.groupBy("__path").agg(F.avg("__y").alias("mean"), ends.alias("ends")), "tree-ends")
+    single = F.min("__low") == F.max("__high")
+    ends = F.lit(depth == 0) | single | (F.count(F.lit(1)) == 1)
+    nodes = stage(rows.groupBy("__path").agg(_mean().alias("mean"), ends.alias("ends")), "tree-ends")
     leaf = nodes.where("ends").select(
         F.col("__path").alias("path"), F.array(F.lit(-1)).alias("feature"), F.array(F.lit(0.0)).alias("threshold"),
         F.array(F.lit(0)).alias("child"), F.array("mean").alias("value"),
@@ -228,9 +257,10 @@ def _subtrees(rows: DataFrame, predictors: list[str], depth: int | None) -> Data
     small = rows.join(nodes.where("not ends").select("__path"), "__path", "left_semi")
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
-        # In a fixed order: sums do not depend on how the rows arrived.
-        part = part.sort_values([*predictors, "__y"])
-        tree = grown(part[predictors].to_numpy(float), part["__y"].to_numpy(float), depth)
+        # In a fixed order: sums do not depend on how the points arrived.
+        part = part.sort_values(predictors)
+        columns = [part[c].to_numpy(float) for c in ("__n", "__mean", "__square", "__low", "__high")]
+        tree = grown_from(Points(part[predictors].to_numpy(float), *columns), depth)
         return pd.DataFrame([[part["__path"].iloc[0], *(a.tolist() for a in tree)]], columns=["path", "feature", "threshold", "child", "value"])
 
     return leaf.union(small.groupBy("__path").applyInPandas(grow, f"path string, {_SUBTREE}"))
