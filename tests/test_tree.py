@@ -165,3 +165,54 @@ def test_running_totals(spark):
             assert found[g, o] == (sum(v for _, v in own[:i]), own[i + 1][0] if i + 1 < len(own) else None)
     assert len(found) == 400
     assert running_totals(df.limit(0), ["g"], "o", ["v"]).collect() == []
+
+
+def written(monkeypatch):
+    """{label: rows}, added up, of all that the tree stages."""
+    found = {}
+
+    def stage(df, label, real=tree.stage):
+        staged = real(df, label)
+        found[label] = found.get(label, 0) + staged.count()
+        return staged
+
+    monkeypatch.setattr(tree, "stage", stage)
+    return found
+
+
+def test_levels_move_sums_not_points(spark, monkeypatch):
+    """Points are written once, and again when half of them are done; not at every level."""
+    monkeypatch.setattr(tree, "LOCAL_ROWS", 60)
+    found = written(monkeypatch)
+    rng = np.random.default_rng(6)
+    x = rng.random((1500, 3))
+    y = x[:, 0] * (1 - x[:, 1])
+    fitted = tree.fit(frame(spark, x, y), "y", ["x0", "x1", "x2"])
+    assert len(fitted.cuts) >= 5
+    assert found["tree-points"] == 1500
+    assert sum(n for label, n in found.items() if label != "tree-subtrees") < 3.5 * 1500
+
+
+@pytest.mark.parametrize("cells", [(1, 1), (2, 3), (16, 1024)])
+def test_cells_that_must_be_opened(spark, monkeypatch, cells):
+    """Few and wide cells, and labels that are noise: the best cut lies inside cells of any predictor."""
+    monkeypatch.setattr(tree, "LOCAL_ROWS", 40)
+    monkeypatch.setattr(tree, "NODE_CELLS", cells)
+    monkeypatch.setattr(tree, "CELLS", 20)
+    rng = np.random.default_rng(7)
+    x = np.stack([np.exp(8 * rng.normal(size=150)), rng.integers(-3, 3, 150) * 1.0, -(rng.random(150) ** 9)], 1)
+    y = np.round(rng.normal(size=150) * 1e6, 3)
+    assert estimates(spark, x, y, 3) == pytest.approx(plain(x, y, 3))
+
+
+def test_rows_meet_subtrees_as_columns(spark):
+    """Rows of any columns reach their leaf in Arrow tables, not as Python objects."""
+    x, y = sample(8)
+    data = frame(spark, x, y).withColumns({"a.b": F.struct(F.col("i").alias("k"), F.lit(None).cast("date").alias("d")), "none": F.lit(None).cast("string")})
+    found = tree.fit(data, "y", ["x0", "x1", "x2"], 4).predict(data)
+    assert found.columns == [*data.columns, "prediction"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "InPandas" not in plan
+    rows = sorted(found.collect(), key=lambda r: r.i)
+    assert [r["a.b"].k for r in rows] == list(range(300))
+    assert [r.prediction for r in rows] == pytest.approx(plain(x, y, 4))
