@@ -77,6 +77,8 @@ def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
         square = sums[d : 2 * d, 2 * d :]
         spread = square - own * own / n
         spread[~(spread > ROUNDING * square)] = 0.0
+        # A column's product with itself is its spread; added up elsewhere in the matrix, it may differ in the last digit.
+        np.fill_diagonal(product, np.diag(spread))
         r = product / np.sqrt(spread * spread.T)
     rows = [
         (columns[i], columns[j], i, j, float(np.clip(r[i, j], -1, 1)) if np.isfinite(r[i, j]) else None)

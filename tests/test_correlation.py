@@ -89,3 +89,16 @@ def test_bad_input(matrix):
         corr.analyze(matrix.where("Fila != 'a'"))
     with pytest.raises(ValueError, match="target"):
         corr.analyze(matrix, target="otro")
+
+
+def test_a_column_with_itself(spark, monkeypatch):
+    """Exactly 1, though its squares and its products are added up in different orders."""
+    def noisy(frame, shifts, real=corr._gramian):
+        sums = real(frame, shifts)
+        sums[np.arange(len(shifts)), np.arange(len(shifts))] *= 1 - 1e-15
+        return sums
+
+    monkeypatch.setattr(corr, "_gramian", noisy)
+    df = spark.createDataFrame([(0.1 * i, 0.3 * i * i) for i in range(50)], "a double, b double")
+    found = {(r.Fila, r.Columna): r.r for r in corr.correlation(df, ["a", "b"]).collect()}
+    assert found["a", "a"] == found["b", "b"] == 1.0
