@@ -15,14 +15,14 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens.llm.common import text_or_empty
+from claimlens.llm.common import BATCH_ROWS, text_or_empty
 from claimlens.session import scratch_path, stage
 
 # Bytes of a record's block, records of a file: a file has 40 MB or so at most.
@@ -31,6 +31,8 @@ FILE_RECORDS = 2000
 CHUNK_CHARS = 4096
 # Payloads of fewer bytes are always responses.
 REVISIT_BYTES = 0
+# What is expanded, and what is handed on, of an archive at a time.
+PIECE_BYTES = 1 << 20
 
 _END = "\r\n"
 _BETWEEN = _END * 2
@@ -158,7 +160,14 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [r for row in batch.to_pylist() for r in records_of(row, segment_bytes)]
+            made, size = [], 0
+            for i in range(batch.num_rows):
+                for r in records_of(batch.slice(i, 1).to_pylist()[0], segment_bytes):
+                    made.append(r)
+                    size += len(r)
+                if size >= PIECE_BYTES:
+                    yield pa.record_batch([pa.array(made, pa.string())], ["value"])
+                    made, size = [], 0
             yield pa.record_batch([pa.array(made, pa.string())], ["value"])
 
     writer = linked.mapInArrow(encode, "value string").write.option("lineSep", _BETWEEN)
@@ -171,32 +180,58 @@ FIELDS = (
 )
 
 
-def expanded(file: bytes) -> bytes:
-    """The content of a file that may be compressed, as one member or as many."""
-    parts = []
-    while file[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(wbits=31)
-        parts.append(member.decompress(file))
-        if not member.eof:
-            raise ValueError("a compressed file is cut off")
-        file = member.unused_data
-    return b"".join(parts) or file
-
-
-def parsed(archive: bytes) -> Iterator[dict]:
-    """The records of an archive: found by their lengths, not by what their blocks hold."""
+def expanded(file: bytes) -> Iterator[bytes]:
+    """The content of a file that may be compressed, as one member or as many, in pieces of bounded size."""
+    if file[:2] != b"\x1f\x8b":
+        for at in range(0, len(file), PIECE_BYTES):
+            yield file[at : at + PIECE_BYTES]
+        return
     at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        lines = archive[at:end].decode().split(_END)
+    while file[at : at + 2] == b"\x1f\x8b":
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            some = file[at : at + PIECE_BYTES]
+            if not some:
+                raise ValueError("a compressed file is cut off")
+            at += len(some)
+            while some and not member.eof:
+                piece = member.decompress(some, PIECE_BYTES)
+                some = member.unconsumed_tail
+                if piece:
+                    yield piece
+        at -= len(member.unused_data)
+
+
+def parsed(archive: Iterable[bytes]) -> Iterator[dict]:
+    """The records of an archive, given in pieces: found by their lengths, not by what their blocks hold. No more
+    than a record and a piece are held at a time."""
+    pieces, held = iter(archive), bytearray()
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while held or more():
+        if not held:
+            continue
+        seen = 0
+        while (end := held.find(_BETWEEN.encode(), seen)) < 0:
+            seen = max(0, len(held) - 3)
+            if not more():
+                raise ValueError("a record's headers do not end")
+        lines = held[:end].decode().split(_END)
         if not lines[0].startswith("WARC/"):
             raise ValueError("no record starts here")
         head = {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
-        length, at = int(head["content-length"]), end + 4
-        block = archive[at : at + length]
-        if len(block) != length or archive[at + length : at + length + 4] != b"\r\n\r\n":
+        at = end + 4
+        close = at + int(head["content-length"])
+        while len(held) < close + 4 and more():
+            pass
+        if held[close : close + 4] != _BETWEEN.encode():
             raise ValueError("a record is not closed where its length says")
-        at += length + 4
+        block = bytes(held[at:close])
+        del held[: close + 4]
         total = head.get("warc-segment-total-length")
         yield {
             "record_id": head["warc-record-id"],
@@ -213,17 +248,28 @@ def parsed(archive: bytes) -> Iterator[dict]:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives below a folder."""
+    """Every record of the archives below a folder. A file is read in pieces, and its records leave in batches of
+    bounded size."""
+
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        columns = [pa.array([r[n] for r in rows], kind) for n, kind in zip(names, kinds, strict=True)]
+        return pa.record_batch(columns, names)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.name for f in schema]
         for batch in batches:
             for archive in batch.column(0):
-                rows = list(parsed(expanded(archive.as_py())))
-                columns = [pa.array([r[n] for r in rows], kind) for n, kind in zip(names, kinds, strict=True)]
-                yield pa.record_batch(columns, names)
+                rows, size = [], 0
+                for row in parsed(expanded(archive.as_py())):
+                    rows.append(row)
+                    size += len(row["block"])
+                    if size >= PIECE_BYTES or len(rows) >= BATCH_ROWS:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch_of(rows)
 
     schema = T.StructType.fromDDL(FIELDS)
+    names = [f.name for f in schema]
     kinds = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.where("length > 0").select("content").mapInArrow(parse, FIELDS)

@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import random
 
@@ -89,3 +90,18 @@ def test_lost_segment_is_an_error(spark, tmp_path):
     last = records.agg({"segment": "max"}).first()[0]
     with pytest.raises(Exception, match="do not add up"):
         warc.reassemble(records.where(f"segment <> {last}")).collect()
+
+
+def test_archives_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    """No piece, and no batch of records, grows with the file."""
+    blocks = [f"{i}\r\n\r\n" * 50 for i in range(200)]
+    plain = "".join(warc.record({"WARC-Type": "response", "WARC-Record-ID": f"<{i}>"}, b) + "\r\n\r\n" for i, b in enumerate(blocks)).encode()
+    half = plain.index(b"WARC/1.1", len(plain) // 2)
+    monkeypatch.setattr(warc, "PIECE_BYTES", 1000)
+    for file in (plain, gzip.compress(plain), gzip.compress(plain[:half]) + gzip.compress(plain[half:])):
+        pieces = list(warc.expanded(file))
+        assert max(map(len, pieces)) <= 1000 and b"".join(pieces) == plain
+        assert [r["block"].decode() for r in warc.parsed(iter(pieces))] == blocks
+        with pytest.raises(ValueError, match="cut off|not closed|do not end"):
+            list(warc.parsed(warc.expanded(file[:-20])))
+    assert list(warc.parsed(warc.expanded(b""))) == []
