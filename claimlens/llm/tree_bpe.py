@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ class Codec:
             self._bytes[rank] = token
 
     def leaf(self, text: str) -> np.ndarray:
-        return np.array(self._plain.encode_ordinary(text), "<u4")
+        return np.array(array("I", self._plain.encode_ordinary(text)), "<u4")
 
     def encode(self, text: str, leaf_chars: int = LEAF_CHARS) -> np.ndarray:
         """Ids of a whole text; equal to ``leaf(text)``."""
