@@ -134,7 +134,8 @@ def _placed(rows: DataFrame, predictors: list[str], top: Top) -> DataFrame:
             kept = batch.columns[: -len(own)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(at)], names=schema.names)
 
-    return rows.select("*", *(F.col(p).cast("double").alias(x) for p, x in zip(predictors, own, strict=True))).mapInArrow(place, schema)
+    values = (F.col(p).cast("double").alias(x) for p, x in zip(predictors, own, strict=True))
+    return rows.select("*", *values).mapInArrow(place, schema)
 
 
 @dataclass
@@ -251,7 +252,8 @@ def fit(training: DataFrame, label: str, predictors: list[str], depth: int | Non
             rows, held = stage(_of_nodes(rows, predictors, top, nodes[large]), f"tree-level-{len(cuts)}"), left
         found = found.at(np.flatnonzero(large))
         most = max(1, CELLS // (NODE_CELLS[0] * len(predictors)))
-        best = [_best_cuts(rows, predictors, top, found.at(np.arange(i, min(i + most, len(found.node)))), borders) for i in range(0, len(found.node), most)]
+        some = [np.arange(i, min(i + most, len(found.node))) for i in range(0, len(found.node), most)]
+        best = [_best_cuts(rows, predictors, top, found.at(places), borders) for places in some]
         feature, threshold = (np.concatenate(c) for c in zip(*best, strict=True))
         split = feature >= 0
         cuts.append(int(split.sum()))
@@ -355,7 +357,8 @@ def _node_sums(rows: DataFrame, predictors: list[str], top: Top, nodes: np.ndarr
                 np.minimum.at(start[j], slot, scale)
                 np.maximum.at(end[j], slot, scale)
         k = np.flatnonzero(points)
-        yield _batch(slot=k, points=points[k], n=n[k], total=total[k], low=low[k], high=high[k], **dict(zip(starts, start[:, k], strict=True)), **dict(zip(ends, end[:, k], strict=True)))
+        reach = dict(zip([*starts, *ends], [*start[:, k], *end[:, k]], strict=True))
+        yield _batch(slot=k, points=points[k], n=n[k], total=total[k], low=low[k], high=high[k], **reach)
 
     least, most = ["low", *starts], ["high", *ends]
     names = ["points", "n", "total", "low", "high", *starts, *ends]
@@ -433,7 +436,8 @@ def _best_cuts(rows: DataFrame, predictors: list[str], top: Top, nodes: Nodes, b
     threshold = _middles(last[at], after[at])
     opened = (first < last) & ~(bound < best[:, None, None] * (1 - SLACK) - 2 * SLACK)
     if opened.any():
-        inside = _inside(rows, predictors, top, nodes, borders, size, opened.ravel(), count_before.ravel(), total_before.ravel(), spread.ravel())
+        flat = (a.ravel() for a in (opened, count_before, total_before, spread))
+        inside = _inside(rows, predictors, top, nodes, borders, size, *flat)
         for slot, loss, j, x in inside:
             if (loss, j, x) < (-best[slot], feature[slot], threshold[slot]) or feature[slot] < 0:
                 best[slot], feature[slot], threshold[slot] = -loss, j, x
