@@ -21,7 +21,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,14 +105,15 @@ class ExactTree:
         width = len(self.predictors)
 
         def answer(rows: pa.Table, tree: pa.Table) -> pa.Table:
-            x = rows.column("__x").combine_chunks().flatten().to_numpy().reshape(-1, width)
-            value = np.zeros(0)
-            if len(x):
+            values = []
+            if rows.num_rows:
                 feature, number = (tree.column(c)[0].values.to_numpy() for c in ("feature", "number"))
                 # Children follow in the order of the nodes that are cut.
                 child = np.where(feature >= 0, 2 * np.cumsum(feature >= 0) - 1, 0)
-                value = number[_fallen(np.zeros(len(x), np.int64), x, feature, number, child)]
-            return pa.table({"__row": rows.column("__row"), "__prediction": pa.array(value, pa.float64())})
+                for chunk in rows.column("__x").chunks:
+                    x = chunk.flatten().to_numpy().reshape(-1, width)
+                    values.append(number[_fallen(np.zeros(len(x), np.int64), x, feature, number, child)])
+            return pa.table({"__row": rows.column("__row"), "__prediction": pa.chunked_array(values, pa.float64())})
 
         schema = T.StructType([dealt.schema["__row"], T.StructField("__prediction", T.DoubleType())])
         found = dealt.groupBy("__path", "__part").cogroup(trees.groupBy("path", "part")).applyInArrow(answer, schema)
@@ -494,21 +494,26 @@ def _subtrees(points: DataFrame, predictors: list[str], top: Top, ends: np.ndarr
     if depth is not None:
         ends = ends | (top.level[: len(means)] >= depth)
     leaf = np.flatnonzero(bottom & ends)
-    leaves = spark.createDataFrame([(int(p), [-1], [float(means[p])]) for p in leaf], f"path bigint, {_SUBTREE}")
+    single = pa.ListArray.from_arrays(np.arange(len(leaf) + 1, dtype=np.int32), pa.array(np.full(len(leaf), -1, np.int16)))
+    number = pa.ListArray.from_arrays(single.offsets, pa.array(means[leaf]))
+    # From Arrow, which starts no Python worker on the executors.
+    leaves = spark.createDataFrame(pa.table({"path": leaf, "feature": single, "number": number}), f"path bigint, {_SUBTREE}")
     small = np.flatnonzero(bottom & ~ends)
     if not len(small):
         return leaves
     levels = top.level
 
-    def grow(part: pd.DataFrame) -> pd.DataFrame:
+    def grow(part: pa.Table) -> pa.Table:
         # In a fixed order: sums do not depend on how the points arrived.
-        part = part.sort_values(predictors)
-        columns = [part[c].to_numpy(float) for c in ("__n", "__mean", "__square", "__low", "__high")]
-        path = int(part["__node"].iloc[0])
+        x = np.stack([part.column(p).to_numpy() for p in predictors], 1)
+        order = np.lexsort(x.T[::-1])
+        columns = [part.column(c).to_numpy()[order] for c in ("__n", "__mean", "__square", "__low", "__high")]
+        path = part.column("__node")[0].as_py()
         left = None if depth is None else depth - int(levels[path])
-        feature, threshold, _, value = grown_from(Points(part[predictors].to_numpy(float), *columns), left)
+        feature, threshold, _, value = grown_from(Points(x[order], *columns), left)
         number = np.where(feature >= 0, threshold, value)
-        return pd.DataFrame([[path, feature.tolist(), number.tolist()]], columns=["path", "feature", "number"])
+        types = {"path": pa.int64(), "feature": pa.list_(pa.int16()), "number": pa.list_(pa.float64())}
+        return pa.table({c: pa.array([v], types[c]) for c, v in (("path", path), ("feature", feature), ("number", number))})
 
     inside = _of_nodes(points.withColumn("__node", F.lit(0).cast("bigint")), predictors, top, small)
-    return leaves.union(inside.groupBy("__node").applyInPandas(grow, f"path bigint, {_SUBTREE}"))
+    return leaves.union(inside.groupBy("__node").applyInArrow(grow, f"path bigint, {_SUBTREE}"))

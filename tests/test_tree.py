@@ -216,3 +216,24 @@ def test_rows_meet_subtrees_as_columns(spark):
     rows = sorted(found.collect(), key=lambda r: r.i)
     assert [r["a.b"].k for r in rows] == list(range(300))
     assert [r.prediction for r in rows] == pytest.approx(plain(x, y, 4))
+
+
+def test_tasks_hold_arrow_and_leaves_start_no_python(spark, monkeypatch):
+    """Subtrees grow from Arrow tables, not pandas; leaves of large nodes reach Spark without Python workers of their own."""
+    monkeypatch.setattr(tree, "LOCAL_ROWS", 60)
+    kinds = []
+
+    def stage(df, label, real=tree.stage):
+        if label == "tree-subtrees":
+            kinds.append(df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().toRdd().toDebugString())
+        return real(df, label)
+
+    monkeypatch.setattr(tree, "stage", stage)
+    x, y = sample(9)
+    y = np.where(x[:, 0] > 5, y, 1.0)  # the left side is pure: a leaf among large nodes
+    data = frame(spark, x, y)
+    fitted = tree.fit(data, "y", ["x0", "x1", "x2"])
+    assert len(fitted.cuts) >= 1 and fitted.subtrees.where("size(feature) = 1").count() >= 1
+    assert "FlatMapGroupsInArrow" in kinds[0] and "InPandas" not in kinds[0] and "PythonRDD" not in kinds[0]
+    found = [r.prediction for r in sorted(fitted.predict(data).collect(), key=lambda r: r.i)]
+    assert found == pytest.approx(plain(x, y))
