@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline as pipeline
+from claimlens.session import staged_paths
 from tests.llm.frames import SF, documents
 from tests.llm.test_line_frequency import brute as lines_brute
 from tests.llm.test_retrieval_packing import check, tokenizer  # noqa: F401
@@ -52,6 +53,24 @@ def test_copies_keep_their_article(spark):
     assert found == {i: texts[i] for i in (0, 5, *range(10, 30))}
 
 
+def test_texts_stay_where_they_are(spark):
+    """Only rows that may have to go meet those that go, and the line stage writes no second copy of the texts."""
+    rows = [(i, f"home\n{t}", "en", "s") for i, t in [*near_copies(72, 6), (900, "same"), (901, "same"), (901, "same")]]
+    docs = spark.createDataFrame(documents(spark, rows).collect(), documents(spark, rows).schema)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = step("near_copies")(spark, docs, SF)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r.doc_id for r in found.collect()).count(901) <= 1
+        assert plan.startswith("Union") and "Filter NOT" in plan.split("Join")[0]
+        before = len(staged_paths())
+        step("lines")(spark, docs, SF)
+        assert not [p for p in staged_paths(before) if "page-texts" in p]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_near_copies_leave_one_of_each_group(spark):
     rows = [*near_copies(72, 5), (500, None), (None, "a b c"), (None, "a b c"), (501, "x y"), (501, "x y"), (502, "")]
     found = step("near_copies")(spark, documents(spark, rows), SF)
